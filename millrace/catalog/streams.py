@@ -44,7 +44,7 @@ def _through_stream(
     tokens.write.parquet(source)
     stream = spark.readStream.schema(tokens.schema).parquet(source)
     (
-        token_stream.stream_text(stream, end_token, max_tokens)
+        token_stream.stream_text(stream, end_token, max_tokens, ttl_ms=None)
         .writeStream.format("parquet")
         .option("path", sink)
         .option("checkpointLocation", state)

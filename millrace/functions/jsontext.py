@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A run of string literals and other characters up to the next separator.
-_UP_TO_SEPARATOR = r'((?:"(?:[^"\\]++|\\.)*+"|[^",:]++)*+)([,:])'
+# From the last match on, string literals and other characters up to the next separator.
+_UP_TO_SEPARATOR = r'\G((?:"(?:[^"\\]++|\\.)*+"|[^",:]++)*+)([,:])'
 
 
 def spaced(compact: Column) -> Column:

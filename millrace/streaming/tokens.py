@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -27,10 +27,11 @@ class TextAssembler(StatefulProcessor):
     """Keeps at most the held-back characters, a token count and a done flag per session.
 
     Tokens of a micro-batch are taken in ``seq`` order; the source delivers later tokens in
-    later batches. State of sessions that never end expires after ``ttl_ms``.
+    later batches. With ``ttl_ms`` the state of a session expires that long after its last
+    token, whether or not it ended.
     """
 
-    def __init__(self, end_token: str | None, max_tokens: int | None, ttl_ms: int) -> None:
+    def __init__(self, end_token: str | None, max_tokens: int | None, ttl_ms: int | None) -> None:
         self._end_token = end_token
         self._max_tokens = max_tokens
         self._ttl_ms = ttl_ms
@@ -40,6 +41,8 @@ class TextAssembler(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         held, seen, done = self._state.get() if self._state.exists() else ("", 0, False)
+        if done:
+            return
         tokens = pd.concat(list(rows)).sort_values("seq")
         out: list[tuple[int, int, str]] = []
         for seq, token, is_last in zip(tokens["seq"], tokens["token"], tokens["is_last"]):
@@ -67,19 +70,21 @@ def stream_text(
     tokens: DataFrame,
     end_token: str | None = None,
     max_tokens: int | None = None,
-    ttl_ms: int = 3_600_000,
+    ttl_ms: int | None = 3_600_000,
 ) -> DataFrame:
     """Streaming (session_id, seq, chunk): text as soon as it is safe to show.
 
     ``tokens`` streams (session_id, seq, token, is_last). A session ends at ``is_last``, at
-    ``end_token`` or after ``max_tokens``; later tokens are dropped.
+    ``end_token`` or after ``max_tokens``; later tokens are dropped. A run over finished
+    input (trigger ``availableNow``) passes ``ttl_ms=None``: expiry keeps a query waiting
+    for its clock, so that such a run would never end.
     """
     tokens.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return tokens.groupBy("session_id").transformWithStateInPandas(
         statefulProcessor=TextAssembler(end_token, max_tokens, ttl_ms),
         outputStructType=OUTPUT,
         outputMode="Append",
-        timeMode="ProcessingTime",
+        timeMode="None" if ttl_ms is None else "ProcessingTime",
     )
 
 
@@ -108,9 +113,9 @@ def batch_text(
     if end_token is not None:
         kept = kept.where(F.col("token") != end_token)
     if max_tokens is not None:
-        ordered = F.array_sort(F.collect_list(F.struct("seq", "token")))
-        first = F.slice(ordered, 1, max_tokens)
-        return kept.groupBy("session_id").agg(
-            F.array_join(F.transform(first, lambda s: s["token"]), "").alias("text")
+        # The rank filter also runs before the exchange.
+        order = Window.partitionBy("session_id").orderBy("seq")
+        kept = kept.withColumn("_nth", F.row_number().over(order)).where(
+            F.col("_nth") <= max_tokens
         )
     return kept.groupBy("session_id").agg(_ordered_text("token").alias("text"))
