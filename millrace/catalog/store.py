@@ -10,8 +10,6 @@ from millrace.operators import transcripts
 from millrace.session import load
 from millrace.sources.transcripts import parse_transcripts, serialize_transcripts
 
-_USER = F.lit("user_")
-
 _STORED = """
 stored AS (
   SELECT conv_id + 1 AS id, 'user_' || conv_id AS username,
@@ -22,7 +20,7 @@ _LOGINS = "logins AS (SELECT 'user_' || user_id AS username, event_id AS seq FRO
 
 
 def _named_turns(spark: SparkSession, folder: str) -> DataFrame:
-    return turns(spark, folder).withColumn("username", F.concat(_USER, F.col("conv_id").cast("string")))
+    return turns(spark, folder).withColumn("username", F.concat(F.lit("user_"), F.col("conv_id").cast("string")))
 
 
 def stored(spark: SparkSession, folder: str) -> DataFrame:
@@ -34,7 +32,7 @@ def stored(spark: SparkSession, folder: str) -> DataFrame:
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
     return load(spark, folder, "events").select(
-        F.concat(_USER, F.col("user_id").cast("string")).alias("username"),
+        F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("username"),
         F.col("event_id").alias("seq"),
         "event_type",
         "props",

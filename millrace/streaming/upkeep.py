@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-_UPDATE = F.struct(F.col("seq"), F.col("content"))
 DELTA = "username string, first_login bigint, last_update struct<seq:bigint,content:string>"
 
 
@@ -18,7 +17,7 @@ def compact(events: DataFrame) -> DataFrame:
     is_login = F.col("kind") == "login"
     return events.groupBy("username").agg(
         F.min(F.when(is_login, F.col("seq"))).alias("first_login"),
-        F.max(F.when(~is_login, _UPDATE)).alias("last_update"),
+        F.max(F.when(~is_login, F.struct("seq", "content"))).alias("last_update"),
     )
 
 
