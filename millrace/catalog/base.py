@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,12 +40,22 @@ def indexed_documents(spark: SparkSession, folder: str) -> DataFrame:
     return index_by_key(load(spark, folder, "documents", "doc_id"), "doc_id")
 
 
+@lru_cache(maxsize=16)
+def _tokenizer(_application: str, spark: SparkSession, folder: str, name: str) -> Tokenizer:
+    """Each vocabulary is counted and written once per application, like any other table."""
+    texts = spread(load(spark, folder, name), TEXT_KEYS[name]).select("text")
+    return Tokenizer(build_vocab(texts))
+
+
+TEXT_KEYS = {"documents": "doc_id", "conversations": "conv_id"}
+
+
 def document_tokenizer(spark: SparkSession, folder: str) -> Tokenizer:
-    return Tokenizer(build_vocab(documents(spark, folder)))
+    return _tokenizer(spark.sparkContext.applicationId, spark, folder, "documents")
 
 
 def chat_tokenizer(spark: SparkSession, folder: str) -> Tokenizer:
-    return Tokenizer(build_vocab(load(spark, folder, "conversations", "text")))
+    return _tokenizer(spark.sparkContext.applicationId, spark, folder, "conversations")
 
 
 def lines_folder(rows: DataFrame, line: Column, key: str = "doc_id") -> str:

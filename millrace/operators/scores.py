@@ -48,10 +48,13 @@ def log_sum_exp(scores: DataFrame, keys: list[str], x: Column, name: str = "lse"
 def softmax(
     scores: DataFrame, keys: list[str], logit: str = "logit", temperature: float = 1.0
 ) -> DataFrame:
-    """Add ``prob``, the softmax of logit / temperature inside each group."""
+    """Add ``prob``, the softmax of logit / temperature inside each group.
+
+    The outer join drops out of plans that do not read ``prob``, such as group counts.
+    """
     x = F.col(logit) if temperature == 1.0 else F.col(logit) / temperature
     return (
-        scores.join(log_sum_exp(scores, keys, x), keys)
+        scores.join(log_sum_exp(scores, keys, x), keys, "left")
         .withColumn("prob", F.exp(x - F.col("lse")))
         .drop("lse")
     )

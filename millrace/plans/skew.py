@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.session import written
+
 HOT_ROWS = 1_000_000
 # At most 1 / HOT_SHARE groups can be this large, which bounds every table of hot groups.
 HOT_SHARE = 1e-4
@@ -37,59 +39,82 @@ def rank_with_sums(
     """Rank rows of each group by ``value`` descending, then ``tie`` ascending.
 
     ``sums`` maps a new column to the column whose sum over the better rows it gets.
-    Groups of ordinary size are ranked by one window. A hot group is first cut at its own
-    quantiles into slices that keep the order; rows equal to a cut value form slices of
-    their own, cut again by ``tie``. Ranks and sums then add up over the slices.
+    Group sizes are counted first. Groups of ordinary size are ranked by one window; only
+    if there are hot groups are these cut into slices.
     """
     sums = dict(sums or {})
+    hot = written(hot_groups(df, keys, hot_rows))
+    if hot.isEmpty():
+        return _ranked(df, keys, value, tie, sums, rank)
+    return _ranked_in_slices(df, hot, keys, value, tie, sums, rank)
+
+
+def _ranked(
+    df: DataFrame, within: list[str], value: str, tie: str, sums: Mapping[str, str], rank: str
+) -> DataFrame:
+    ordered = Window.partitionBy(*within).orderBy(F.desc(value), F.asc(tie))
+    better = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    before = {
+        new: F.coalesce(F.sum(source).over(better), F.lit(0.0)) for new, source in sums.items()
+    }
+    return df.withColumns({rank: F.row_number().over(ordered).cast("bigint"), **before})
+
+
+def _ranked_in_slices(
+    df: DataFrame,
+    hot: DataFrame,
+    keys: list[str],
+    value: str,
+    tie: str,
+    sums: Mapping[str, str],
+    rank: str,
+) -> DataFrame:
+    """Cut hot groups at their own quantiles into slices that keep the order.
+
+    Rows equal to a cut value form slices of their own, cut again by ``tie``, so a value
+    that fills most of a group is spread as well. Ranks and sums add up over the slices.
+    """
     cuts = (
-        df.join(F.broadcast(hot_groups(df, keys, hot_rows)), keys, "left_semi")
+        df.join(F.broadcast(hot), keys, "left_semi")
         .groupBy(*keys)
         .agg(_cut_points(value).alias("_cuts"), _cut_points(tie).alias("_tie_cuts"))
     )
+    is_hot = F.col("_cuts").isNotNull()
     tied = F.array_contains("_cuts", F.col(value))
     above = F.size(F.filter("_cuts", lambda cut: cut > F.col(value)))
     below = F.size(F.filter("_tie_cuts", lambda cut: cut < F.col(tie)))
-    hot = F.col("_cuts").isNotNull()
-    sliced = (
-        df.join(F.broadcast(cuts), keys, "left")
-        .withColumn("_hot", hot)
-        .withColumn("_slice", F.when(hot, 2 * above + tied.cast("int")).otherwise(0))
-        .withColumn("_sub", F.when(hot & tied, below).otherwise(0))
-        .drop("_cuts", "_tie_cuts")
+    # One struct rather than several columns: a table that is already partitioned by the
+    # keys alone must be partitioned again, or all slices of a group would share a task.
+    place = F.struct(
+        *keys,
+        F.when(is_hot, 2 * above + tied.cast("int")).otherwise(0).alias("_slice"),
+        F.when(is_hot & tied, below).otherwise(0).alias("_sub"),
+    )
+    sliced = df.join(F.broadcast(cuts), keys, "left").select(
+        *df.columns, is_hot.alias("_hot"), place.alias("_place")
     )
-    slice_keys = [*keys, "_slice", "_sub"]
-    ordered = Window.partitionBy(*slice_keys).orderBy(F.desc(value), F.asc(tie))
-    better = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    ranked = sliced.withColumn(rank, F.row_number().over(ordered).cast("bigint"))
-    for new, source in sums.items():
-        ranked = ranked.withColumn(new, F.coalesce(F.sum(source).over(better), F.lit(0.0)))
-
     totals = (
         sliced.where("_hot")
-        .groupBy(*slice_keys)
+        .groupBy("_place")
         .agg(
             F.count(F.lit(1)).alias("_n"),
-            *[F.sum(source).alias(f"_t_{new}") for new, source in sums.items()],
+            *[F.sum(source).alias(f"_sum_{new}") for new, source in sums.items()],
         )
     )
-    # A few hundred slices per hot group.
+    # At most a few thousand slices per hot group.
     earlier = (
-        Window.partitionBy(*keys)
-        .orderBy("_slice", "_sub")
+        Window.partitionBy(*[f"_place.{key}" for key in keys])
+        .orderBy("_place._slice", "_place._sub")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = totals.select(
-        *slice_keys,
+        "_place",
         F.sum("_n").over(earlier).alias("_rank_before"),
-        *[F.sum(f"_t_{new}").over(earlier).alias(f"_before_{new}") for new in sums],
+        *[F.sum(f"_sum_{new}").over(earlier).alias(f"_before_{new}") for new in sums],
     )
-    joined = ranked.join(offsets, slice_keys, "left")
-    return joined.select(
+    inside = _ranked(sliced, ["_place"], value, tie, sums, rank)
+    return inside.join(offsets, "_place", "left").select(
         *df.columns,
         (F.col(rank) + F.coalesce("_rank_before", F.lit(0))).alias(rank),
-        *[
-            (F.col(new) + F.coalesce(f"_before_{new}", F.lit(0.0))).alias(new)
-            for new in sums
-        ],
+        *[(F.col(new) + F.coalesce(f"_before_{new}", F.lit(0.0))).alias(new) for new in sums],
     )

@@ -17,7 +17,7 @@ _STATE = "held string, n_tokens int, done boolean"
 
 
 def emit(held: str, token: str) -> tuple[str, str]:
-    """(text that is safe to show, text still held back) after one more token."""
+    """(text that is safe to show, text still held back) after more tokens."""
     text = held + token
     cut = max(len(text) - HOLD_BACK, 0)
     return text[:cut], text[cut:]
@@ -26,8 +26,9 @@ def emit(held: str, token: str) -> tuple[str, str]:
 class TextAssembler(StatefulProcessor):
     """Keeps at most the held-back characters, a token count and a done flag per session.
 
-    Tokens of a micro-batch are taken in ``seq`` order; the source delivers later tokens in
-    later batches. With ``ttl_ms`` the state of a session expires that long after its last
+    Tokens of a micro-batch are taken in ``seq`` order and shown as one chunk; the source
+    delivers later tokens in later batches, and its rate limit bounds what one session can
+    bring at a time. With ``ttl_ms`` the state of a session expires that long after its last
     token, whether or not it ended.
     """
 
@@ -43,24 +44,24 @@ class TextAssembler(StatefulProcessor):
         held, seen, done = self._state.get() if self._state.exists() else ("", 0, False)
         if done:
             return
-        tokens = pd.concat(list(rows)).sort_values("seq")
-        out: list[tuple[int, int, str]] = []
-        for seq, token, is_last in zip(tokens["seq"], tokens["token"], tokens["is_last"]):
-            if done:
-                break
-            shown = ""
-            if token == self._end_token:
-                done = True
-            else:
-                shown, held = emit(held, token)
-                seen += 1
-                done = bool(is_last) or seen == self._max_tokens
-            if done:
-                shown, held = shown + held, ""
-            if shown:
-                out.append((key[0], seq, shown))
-        self._state.update((held, seen, done))
-        yield pd.DataFrame(out, columns=["session_id", "seq", "chunk"])
+        batch = pd.concat(list(rows)).sort_values("seq")
+        tokens = batch["token"].tolist()
+        # One past the last token that still counts, if the session ends in this batch.
+        ends = [i + 1 for i, last in enumerate(batch["is_last"]) if last][:1]
+        if self._end_token in tokens:
+            ends.append(tokens.index(self._end_token))
+        if self._max_tokens is not None and seen + len(tokens) >= self._max_tokens:
+            ends.append(self._max_tokens - seen)
+        done = bool(ends)
+        taken = tokens[: min(ends)] if done else tokens
+        shown, held = emit(held, "".join(taken))
+        if done:
+            shown, held = shown + held, ""
+        self._state.update((held, seen + len(taken), done))
+        if shown:
+            yield pd.DataFrame(
+                {"session_id": [key[0]], "seq": [batch["seq"].iloc[-1]], "chunk": [shown]}
+            )
 
     def close(self) -> None:
         pass
