@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog.base import query, turns
 from millrace.operators import context, templates
-from millrace.operators.templates import PLAIN, REASONING
+from millrace.operators.templates import PLAIN, REASONING, Turn
 from millrace.session import load
 
 KEY = "conv_id"
@@ -167,7 +167,7 @@ def tmpl_system(spark: SparkSession, folder: str) -> DataFrame:
     rows = varied_turns(spark, folder).withColumn("functions", F.lit(None).cast("array<string>"))
     return _both(
         lambda style: rows.where("turn = 0").select(
-            KEY, templates.system_text(style).alias("text")
+            KEY, templates.system_text(Turn.flat(), style).alias("text")
         )
     )
 
@@ -179,8 +179,7 @@ def tmpl_system(spark: SparkSession, folder: str) -> DataFrame:
 )
 def tmpl_tools(spark: SparkSession, folder: str) -> DataFrame:
     rows = tool_turns(spark, folder).where((F.col("turn") == 0) & (F.col("role") == "system"))
-    text = templates.tools_text(F.col("content"), F.col("functions"))
-    return rows.select(KEY, text.alias("text"))
+    return rows.select(KEY, templates.tools_text(Turn.flat()).alias("text"))
 
 
 @query(
@@ -189,7 +188,7 @@ def tmpl_tools(spark: SparkSession, folder: str) -> DataFrame:
         WHERE role = 'user' OR (role = 'system' AND turn > 0)""",
 )
 def tmpl_turn(spark: SparkSession, folder: str) -> DataFrame:
-    rows = varied_turns(spark, folder).select(KEY, "turn", templates.turn_text().alias("text"))
+    rows = varied_turns(spark, folder).select(KEY, "turn", templates.turn_text(Turn.flat()).alias("text"))
     return rows.where(F.col("text").isNotNull())
 
 
@@ -201,7 +200,7 @@ def tmpl_turn(spark: SparkSession, folder: str) -> DataFrame:
 )
 def tmpl_assistant(spark: SparkSession, folder: str) -> DataFrame:
     rows = tool_turns(spark, folder).where(F.col("role") == "assistant")
-    return rows.select(KEY, "turn", templates.assistant_text(PLAIN).alias("text"))
+    return rows.select(KEY, "turn", templates.assistant_text(Turn.flat(), PLAIN).alias("text"))
 
 
 @query(
@@ -212,7 +211,7 @@ def tmpl_assistant(spark: SparkSession, folder: str) -> DataFrame:
 def tmpl_tool_runs(spark: SparkSession, folder: str) -> DataFrame:
     rows = templates.with_tool_runs(varied_turns(spark, folder), KEY)
     return rows.where(F.col("role") == "tool").select(
-        KEY, "turn", templates.tool_text().alias("text")
+        KEY, "turn", templates.tool_text(Turn.flat()).alias("text")
     )
 
 
@@ -228,7 +227,7 @@ def last_query(spark: SparkSession, folder: str) -> DataFrame:
 def split_reasoning(spark: SparkSession, folder: str) -> DataFrame:
     rows = varied_turns(spark, folder).where(F.col("role") == "assistant")
     rows = rows.withColumn("reasoning_content", F.lit(None).cast("string"))
-    answer, thought = templates.split_reasoning(REASONING)
+    answer, thought = templates.split_reasoning(Turn.flat(), REASONING)
     return rows.select(KEY, "turn", answer.alias("answer"), thought.alias("thought"))
 
 
@@ -242,7 +241,7 @@ def think_block(spark: SparkSession, folder: str) -> DataFrame:
         "reasoning_content", F.lit(None).cast("string")
     )
     known = answers.join(templates.query_facts(rows, KEY), KEY)
-    return known.select(KEY, "turn", templates.answer_body(REASONING).alias("text"))
+    return known.select(KEY, "turn", templates.answer_body(Turn.flat(), REASONING).alias("text"))
 
 
 @query(
@@ -272,6 +271,23 @@ def render_chat(spark: SparkSession, folder: str) -> DataFrame:
     return _both(lambda style: templates.render(rows, style, KEY))
 
 
+@query(
+    "render_nested",
+    f"""WITH {_FACTS}
+        {_sql_render('plain', True, _CALLS.replace('answer', 'content'))} UNION ALL
+        {_sql_render('reasoning', True, _CALLS)}""",
+)
+def render_nested(spark: SparkSession, folder: str) -> DataFrame:
+    message = F.struct(
+        "turn", "role", "content", F.lit(None).cast("string").alias("reasoning_content"),
+        "functions", "tool_calls",
+    )
+    rows = tool_turns(spark, folder).groupBy(KEY).agg(
+        F.array_sort(F.collect_list(message)).alias("messages")
+    )
+    return _both(lambda style: templates.render_nested(rows, style, KEY))
+
+
 @query(
     "turn_segments",
     f"""WITH {_FACTS}

@@ -15,6 +15,7 @@ from millrace.catalog.base import (
     encode_sql,
     indexed_documents,
     joined,
+    lines_folder,
     query,
     turns,
     vocab_sql,
@@ -23,9 +24,11 @@ from millrace.catalog.rows import _BATCHES, document_manifest
 from millrace.functions import labels
 from millrace.functions.pretokens import pretokens
 from millrace.operators import samples
-from millrace.operators.templates import ANSWER_START, PLAIN, TURN_END, render
+from millrace.operators.templates import ANSWER_START, PLAIN, TURN_END, render, render_nested
 from millrace.operators.tokenizer import END, PAD, build_vocab, token_ids
+from millrace.plans.slicing import take_split
 from millrace.session import load, scratch_folder
+from millrace.sources import jsonl
 from millrace.sources.samples import write_samples
 
 LENGTH = samples.MAX_LENGTH
@@ -244,6 +247,42 @@ def supervised_counts(spark: SparkSession, folder: str) -> DataFrame:
     return stats.withColumn("share", F.round("share", 6))
 
 
+@query(
+    "chat_corpus",
+    f"""{_LABELS} SELECT dense_rank() OVER (ORDER BY conv_id) - 1 AS row_idx, n_real,
+          array_to_string(ids, ',') AS ids, array_to_string(labels, ',') AS labels
+        FROM labelled""",
+)
+def chat_corpus(spark: SparkSession, folder: str) -> DataFrame:
+    """From JSON lines to labelled samples; after the line positions nothing is exchanged."""
+    nested = jsonl.fold_turns(turns(spark, folder), "conv_id")
+    line = F.to_json(F.struct(F.col("messages").alias("conversations")))
+    lines = jsonl.scan_lines(spark, lines_folder(nested, line, "conv_id"))
+    texts = render_nested(jsonl.read_nested(lines), PLAIN, "row_idx")
+    rows = samples.label_chats(texts, chat_tokenizer(spark, folder), "row_idx", length=LENGTH)
+    return rows.select(
+        "row_idx", "n_real", joined(F.col("input_ids")).alias("ids"),
+        joined(F.col("labels")).alias("labels"),
+    )
+
+
+@query(
+    "text_corpus",
+    f"""{_DOC_IDS}, {_fit_sql('doc_id')}, rows AS (
+          SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_idx FROM documents)
+        SELECT row_idx, n_real, array_to_string(ids, ',') AS ids
+        FROM fitted JOIN rows ON fitted.doc_id = rows.doc_id""",
+)
+def text_corpus(spark: SparkSession, folder: str) -> DataFrame:
+    """From JSON lines through a slice to padded samples."""
+    docs = documents(spark, folder)
+    lines = jsonl.scan_lines(spark, lines_folder(docs, F.to_json(F.struct("text"))))
+    texts = jsonl.read_pretrain(take_split(lines, "train[:]"))
+    tokenizer = document_tokenizer(spark, folder)
+    rows = samples.pretrain_samples(texts, tokenizer, "row_idx", LENGTH)
+    return rows.select("row_idx", "n_real", joined(F.col("input_ids")).alias("ids"))
+
+
 @query(
     "sample_sink",
     f"""{_DOC_IDS}, {_fit_sql('doc_id')}, {_BATCHES}

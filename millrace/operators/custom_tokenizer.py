@@ -1,0 +1,55 @@
+"""Encode and decode with a tokenizer file of the user's own, in Arrow batches.
+
+Needs the public ``tokenizers`` package on the executors.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
+
+# A tokenizer file is broadcast whole, so its size is checked first.
+MAX_FILE_CHARS = 64 * 1024 * 1024
+
+
+class CustomTokenizer:
+    """Column functions around a ``tokenizer.json`` that Spark reads from ``path``."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        size = spark.read.text(path, wholetext=True).agg(F.sum(F.length("value"))).first()[0]
+        if size is None or size > MAX_FILE_CHARS:
+            raise ValueError(f"tokenizer file of {size} characters, at most {MAX_FILE_CHARS}")
+        text = spark.read.text(path, wholetext=True).first()[0]
+        self._file = spark.sparkContext.broadcast(text)
+
+    def encode(self, text: Column) -> Column:
+        """Token ids, without start or end tokens added."""
+        file = self._file
+
+        @F.pandas_udf("array<int>")
+        def encode_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            from tokenizers import Tokenizer
+
+            model = Tokenizer.from_str(file.value)
+            for texts in batches:
+                encoded = model.encode_batch(texts.fillna("").tolist(), add_special_tokens=False)
+                yield pd.Series([e.ids for e in encoded])
+
+        return encode_batches(text)
+
+    def decode(self, ids: Column, skip_special: bool = True) -> Column:
+        file = self._file
+
+        @F.pandas_udf("string")
+        def decode_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            from tokenizers import Tokenizer
+
+            model = Tokenizer.from_str(file.value)
+            for rows in batches:
+                lists = [[int(i) for i in row] for row in rows]
+                yield pd.Series(model.decode_batch(lists, skip_special_tokens=skip_special))
+
+        return decode_batches(ids)

@@ -57,19 +57,29 @@ def chat_samples(
     style: ChatStyle,
     *keys: str,
     length: int = MAX_LENGTH,
+    **options,
+) -> DataFrame:
+    """Samples from a flat table of turns; one exchange by conversation."""
+    texts = render(turns, style, *keys, tokens=length)
+    return label_chats(texts, tokenizer, *keys, length=length, **options)
+
+
+def label_chats(
+    texts: DataFrame,
+    tokenizer: Tokenizer,
+    *keys: str,
+    length: int = MAX_LENGTH,
     pad: str = PAD,
     ignore: int = IGNORE,
     markers_only: bool = False,
 ) -> DataFrame:
-    """(keys, input_ids, labels, n_real) per conversation; one exchange by conversation.
+    """(keys, input_ids, labels, n_real) per rendered conversation, without any exchange.
 
-    The rendered text is cut after ``length`` ids, so late turns are lost, not early ones.
+    The text is cut after ``length`` ids, so late turns are lost, not early ones.
     """
     start, end = tokenizer.ids_of(ANSWER_START), tokenizer.ids_of(TURN_END)
     pad_id = tokenizer.ids_of(pad)[0]
-    encoded = render(turns, style, *keys, tokens=length).select(
-        *keys, tokenizer.encode(F.col("text"), length).alias("_ids")
-    )
+    encoded = texts.select(*keys, tokenizer.encode(F.col("text"), length).alias("_ids"))
     padded = encoded.select(
         *keys,
         fit_length(F.col("_ids"), length, pad_id).alias("input_ids"),

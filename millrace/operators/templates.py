@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,11 +67,10 @@ def _no_newlines_before(text: Column) -> Column:
 # --- per conversation -------------------------------------------------------------------
 
 
-def is_query() -> Column:
+def is_query(role: Column, content: Column) -> Column:
     """A user turn that is not a wrapped tool response."""
-    text = F.col("content")
-    wrapped = text.startswith("<tool_response>") & text.endswith("</tool_response>")
-    return (F.col("role") == "user") & text.isNotNull() & ~wrapped
+    wrapped = content.startswith("<tool_response>") & content.endswith("</tool_response>")
+    return (role == "user") & content.isNotNull() & ~wrapped
 
 
 def query_facts(turns: DataFrame, *keys: str) -> DataFrame:
@@ -79,9 +78,10 @@ def query_facts(turns: DataFrame, *keys: str) -> DataFrame:
 
     Without any query the last turn takes its place.
     """
+    query = is_query(F.col("role"), F.col("content"))
     return turns.groupBy(*keys).agg(
         F.max("turn").alias("last_turn"),
-        F.coalesce(F.max(F.when(is_query(), F.col("turn"))), F.max("turn")).alias("last_query"),
+        F.coalesce(F.max(F.when(query, F.col("turn"))), F.max("turn")).alias("last_query"),
     )
 
 
@@ -124,53 +124,85 @@ def with_tool_runs(turns: DataFrame, *keys: str, blocks: bool = True) -> DataFra
 # --- per turn ---------------------------------------------------------------------------
 
 
-def tools_text(content: Column, functions: Column) -> Column:
+@dataclass(frozen=True)
+class Turn:
+    """The columns a turn is rendered from: those of a flat row, or an array element."""
+
+    turn: Column
+    role: Column
+    content: Column
+    reasoning_content: Column
+    functions: Column
+    tool_calls: Column
+    opens_run: Column
+    closes_run: Column
+    last_turn: Column
+    last_query: Column
+
+    @classmethod
+    def flat(cls) -> Turn:
+        return cls(*[F.col(f.name) for f in fields(cls)])
+
+    @classmethod
+    def nested(cls, message: Column, i: Column, messages: Column, facts: Column) -> Turn:
+        def is_tool(at: Column) -> Column:
+            return F.coalesce(F.get(messages, at)["role"] == "tool", F.lit(False))
+
+        return cls(
+            i, message["role"], message["content"], message["reasoning_content"],
+            message["functions"], message["tool_calls"],
+            is_tool(i) & ~is_tool(i - 1), is_tool(i) & ~is_tool(i + 1),
+            facts["last_turn"], facts["last_query"],
+        )
+
+    @property
+    def text(self) -> Column:
+        """Content that is not text counts as empty."""
+        return F.coalesce(self.content, F.lit(""))
+
+
+def tools_text(t: Turn) -> Column:
     """The system block that lists one signature per line."""
-    listed = F.array_join(F.transform(functions, lambda f: F.concat(F.lit("\n"), f)), "")
+    listed = F.array_join(F.transform(t.functions, lambda f: F.concat(F.lit("\n"), f)), "")
     return _block(
         "system",
-        F.concat(content, F.lit("\n\n" + TOOLS_BEFORE), listed, F.lit(TOOLS_AFTER)),
+        F.concat(t.text, F.lit("\n\n" + TOOLS_BEFORE), listed, F.lit(TOOLS_AFTER)),
     )
 
 
-def system_text(style: ChatStyle) -> Column:
+def system_text(t: Turn, style: ChatStyle) -> Column:
     """What opens a conversation; null on later turns."""
-    content = F.coalesce("content", F.lit(""))
-    leads = F.col("role") == "system"
+    leads = t.role == "system"
     default = (
         F.lit("") if style.default_system is None else _block("system", F.lit(style.default_system))
     )
     opening = (
-        F.when(leads & (F.size("functions") > 0), tools_text(content, F.col("functions")))
-        .when(leads, _block("system", content))
+        F.when(leads & (F.size(t.functions) > 0), tools_text(t))
+        .when(leads, _block("system", t.text))
         .otherwise(default)
     )
-    return F.when(F.col("turn") == 0, opening)
+    return F.when(t.turn == 0, opening)
 
 
-def split_reasoning(style: ChatStyle) -> tuple[Column, Column]:
+def split_reasoning(t: Turn, style: ChatStyle) -> tuple[Column, Column]:
     """(answer, thought) of an assistant turn; the plain style keeps the content whole."""
-    content = F.coalesce("content", F.lit(""))
     if not style.reasoning:
-        return content, F.lit("")
-    given = F.col("reasoning_content")
-    closed = content.contains("</think>")
-    answer = F.when(given.isNull() & closed, _no_newlines_before(
-        F.substring_index(content, "</think>", -1)
-    )).otherwise(content)
-    before = F.rtrim(F.substring_index(content, "</think>", 1), F.lit("\n"))
+        return t.text, F.lit("")
+    given = t.reasoning_content
+    closed = t.text.contains("</think>")
+    after = _no_newlines_before(F.substring_index(t.text, "</think>", -1))
+    answer = F.when(given.isNull() & closed, after).otherwise(t.text)
+    before = F.rtrim(F.substring_index(t.text, "</think>", 1), F.lit("\n"))
     inline = _no_newlines_before(F.substring_index(before, "<think>", -1))
     return answer, F.coalesce(given, F.when(closed, inline), F.lit(""))
 
 
-def answer_body(style: ChatStyle) -> Column:
+def answer_body(t: Turn, style: ChatStyle) -> Column:
     """Answer text with its think block, if the turn keeps one."""
-    answer, thought = split_reasoning(style)
+    answer, thought = split_reasoning(t, style)
     if not style.reasoning:
         return answer
-    shown = (F.col("turn") > F.col("last_query")) & (
-        (F.col("turn") == F.col("last_turn")) | (thought != "")
-    )
+    shown = (t.turn > t.last_query) & ((t.turn == t.last_turn) | (thought != ""))
     block = F.concat(
         F.lit("<think>\n"), F.trim(thought, F.lit("\n")), F.lit("\n</think>\n\n"),
         _no_newlines_before(answer),
@@ -178,8 +210,8 @@ def answer_body(style: ChatStyle) -> Column:
     return F.when(shown, block).otherwise(answer)
 
 
-def calls_text(style: ChatStyle) -> Column:
-    answer, _ = split_reasoning(style)
+def calls_text(t: Turn, style: ChatStyle) -> Column:
+    answer, _ = split_reasoning(t, style)
 
     def one(call: Column, i: Column) -> Column:
         gap = F.when((i > 0) | (answer != ""), F.lit("\n")).otherwise(F.lit(""))
@@ -188,28 +220,41 @@ def calls_text(style: ChatStyle) -> Column:
             F.lit('", "arguments": '), call["arguments"], F.lit("}\n</tool_call>"),
         )
 
-    return F.coalesce(F.array_join(F.transform("tool_calls", one), ""), F.lit(""))
+    return F.coalesce(F.array_join(F.transform(t.tool_calls, one), ""), F.lit(""))
 
 
-def assistant_text(style: ChatStyle) -> Column:
-    return _block("assistant", F.concat(answer_body(style), calls_text(style)))
+def assistant_text(t: Turn, style: ChatStyle) -> Column:
+    return _block("assistant", F.concat(answer_body(t, style), calls_text(t, style)))
 
 
-def tool_text() -> Column:
+def tool_text(t: Turn) -> Column:
     """One tool response inside the user block that its run shares."""
     return F.concat(
-        F.when(F.col("opens_run"), F.lit(TURN_START + "user")).otherwise(F.lit("")),
-        F.lit("\n<tool_response>\n"), F.coalesce("content", F.lit("")),
-        F.lit("\n</tool_response>"),
-        F.when(F.col("closes_run"), F.lit(TURN_END)).otherwise(F.lit("")),
+        F.when(t.opens_run, F.lit(TURN_START + "user")).otherwise(F.lit("")),
+        F.lit("\n<tool_response>\n"), t.text, F.lit("\n</tool_response>"),
+        F.when(t.closes_run, F.lit(TURN_END)).otherwise(F.lit("")),
     )
 
 
-def turn_text() -> Column:
+def turn_text(t: Turn) -> Column:
     """A user turn, or a system turn that does not lead; null otherwise."""
-    role = F.col("role")
-    plain = (role == "user") | ((role == "system") & (F.col("turn") > 0))
-    return F.when(plain, _block(role, F.coalesce("content", F.lit(""))))
+    plain = (t.role == "user") | ((t.role == "system") & (t.turn > 0))
+    return F.when(plain, _block(t.role, t.text))
+
+
+def segment_text(t: Turn, style: ChatStyle) -> Column:
+    """All that a turn adds to the text. Unknown roles add nothing."""
+    body = F.coalesce(
+        turn_text(t),
+        F.when(t.role == "assistant", assistant_text(t, style)).when(
+            t.role == "tool", tool_text(t)
+        ),
+        F.lit(""),
+    )
+    return F.concat(F.coalesce(system_text(t, style), F.lit("")), body)
+
+
+# --- whole texts ------------------------------------------------------------------------
 
 
 def segments(
@@ -219,19 +264,12 @@ def segments(
     facts: DataFrame | None = None,
     blocks: bool = True,
 ) -> DataFrame:
-    """(keys, turn, segment): what each turn adds to the text. Unknown roles add nothing."""
+    """(keys, turn, segment) for a flat table of turns."""
     rows = with_tool_runs(_full(turns), *keys, blocks=blocks)
     if style.reasoning:
         known = query_facts(turns, *keys) if facts is None else facts
         rows = rows.join(known, list(keys))
-    role = F.col("role")
-    body = F.coalesce(
-        turn_text(),
-        F.when(role == "assistant", assistant_text(style)).when(role == "tool", tool_text()),
-        F.lit(""),
-    )
-    text = F.concat(F.coalesce(system_text(style), F.lit("")), body)
-    return rows.select(*keys, "turn", text.alias("segment"))
+    return rows.select(*keys, "turn", segment_text(Turn.flat(), style).alias("segment"))
 
 
 def answer_prompt(enable_thinking: bool | None = None) -> str:
@@ -247,7 +285,7 @@ def render(
     enable_thinking: bool | None = None,
     tokens: int | None = None,
 ) -> DataFrame:
-    """(keys, text): whole conversations as template text.
+    """(keys, text): whole conversations of a flat table as template text.
 
     ``tokens`` says how many leading tokens the caller keeps, as training samples do. Turns
     that cannot reach them are then left out before the exchange.
@@ -257,6 +295,34 @@ def render(
     parts = segments(rows, style, *keys, facts=facts, blocks=False)
     ordered = F.array_sort(F.collect_list(F.struct("turn", "segment")))
     joined = F.array_join(F.transform(ordered, lambda s: s["segment"]), "")
-    if generation_prompt:
-        joined = F.concat(joined, F.lit(answer_prompt(enable_thinking)))
-    return parts.groupBy(*keys).agg(joined.alias("text"))
+    text = _ended(joined, generation_prompt, enable_thinking)
+    return parts.groupBy(*keys).agg(text.alias("text"))
+
+
+def _ended(text: Column, generation_prompt: bool, enable_thinking: bool | None) -> Column:
+    return F.concat(text, F.lit(answer_prompt(enable_thinking))) if generation_prompt else text
+
+
+def nested_facts(messages: Column) -> Column:
+    """What :func:`query_facts` gives, from the message array of one conversation."""
+    last = F.size(messages) - 1
+    queries = F.transform(messages, lambda m, i: F.when(is_query(m["role"], m["content"]), i))
+    return F.struct(
+        last.alias("last_turn"), F.coalesce(F.array_max(queries), last).alias("last_query")
+    )
+
+
+def render_nested(
+    conversations: DataFrame,
+    style: ChatStyle,
+    *keys: str,
+    messages: str = "messages",
+    generation_prompt: bool = False,
+    enable_thinking: bool | None = None,
+) -> DataFrame:
+    """(keys, text) where a row already holds its conversation: no exchange at all."""
+    array = F.col(messages)
+    facts = nested_facts(array)
+    parts = F.transform(array, lambda m, i: segment_text(Turn.nested(m, i, array, facts), style))
+    text = _ended(F.array_join(parts, ""), generation_prompt, enable_thinking)
+    return conversations.select(*keys, text.alias("text"))

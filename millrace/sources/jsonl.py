@@ -99,30 +99,36 @@ def _tool_call(raw: Column) -> Column:
     return F.struct(call["name"].alias("name"), arguments.alias("arguments"))
 
 
-def read_conversations(lines: DataFrame, mode: str = "failfast") -> DataFrame:
-    """One row per message: (row_idx, turn, role, content, reasoning_content, functions,
-    tool_calls), with ``turn`` the position in the list.
+def _message(raw: Column) -> Column:
+    return F.struct(
+        raw["role"].alias("role"),
+        _string_only(raw["content"]).alias("content"),
+        _string_only(raw["reasoning_content"]).alias("reasoning_content"),
+        F.transform(raw["functions"], spaced).alias("functions"),
+        F.transform(raw["tool_calls"], _tool_call).alias("tool_calls"),
+    )
+
+
+def read_nested(lines: DataFrame, mode: str = "failfast") -> DataFrame:
+    """(row_idx, messages): each conversation with its message array.
 
     Tool signatures and object arguments become JSON text in ``json.dumps`` spacing;
     content that is not a string becomes null.
     """
-    parsed = checked(lines, "conversations", mode).select(
-        "row_idx",
-        F.posexplode(
-            F.from_json("value", f"struct<conversations:{MESSAGES}>")["conversations"]
-        ).alias("turn", "m"),
-    )
-    return parsed.select(
-        "row_idx",
-        F.col("turn").cast("bigint").alias("turn"),
-        F.col("m.role").alias("role"),
-        _string_only(F.col("m.content")).alias("content"),
-        _string_only(F.col("m.reasoning_content")).alias("reasoning_content"),
-        F.transform("m.functions", spaced).alias("functions"),
-        F.transform("m.tool_calls", _tool_call).alias("tool_calls"),
+    raw = F.from_json("value", f"struct<conversations:{MESSAGES}>")["conversations"]
+    return checked(lines, "conversations", mode).select(
+        "row_idx", F.transform(raw, _message).alias("messages")
     )
 
 
+def read_conversations(lines: DataFrame, mode: str = "failfast") -> DataFrame:
+    """One row per message: (row_idx, turn, role, content, reasoning_content, functions,
+    tool_calls), with ``turn`` the position in the list."""
+    nested = read_nested(lines, mode)
+    flat = nested.select("row_idx", F.posexplode("messages").alias("_at", "m"))
+    return flat.select("row_idx", F.col("_at").cast("bigint").alias("turn"), "m.*")
+
+
 def fold_turns(turns: DataFrame, key: str = "row_idx") -> DataFrame:
     """The inverse: messages of a conversation as one ordered array."""
     message = F.struct("turn", "role", "content")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _ENTRY = (
@@ -36,3 +36,10 @@ def token_map(token_id: Column, content: Column, special: Column) -> Column:
     return F.to_json(
         F.map_from_entries(F.collect_list(F.struct(token_id.cast("string"), entry)))
     )
+
+
+def read_token_config(spark: SparkSession, path: str) -> DataFrame:
+    """The added tokens of a tokenizer configuration file (one JSON object)."""
+    whole = spark.read.text(path, wholetext=True)
+    field = F.from_json("value", "struct<added_tokens_decoder:string>")["added_tokens_decoder"]
+    return added_tokens(whole.select(field.alias("added")), "added")

@@ -1,0 +1,58 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.operators.custom_tokenizer import CustomTokenizer
+from millrace.sources.tokens import read_token_config
+
+tokenizers = pytest.importorskip("tokenizers")
+
+
+@pytest.fixture(scope="module")
+def path(tmp_path_factory):
+    from tokenizers import decoders, models, pre_tokenizers
+
+    vocab = {"<|endoftext|>": 0, "<|im_start|>": 1, "<|im_end|>": 2}
+    for symbol in sorted(pre_tokenizers.ByteLevel.alphabet()):
+        vocab[symbol] = len(vocab)
+    vocab["th"] = len(vocab)
+    model = tokenizers.Tokenizer(models.BPE(vocab=vocab, merges=[("t", "h")]))
+    model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    model.decoder = decoders.ByteLevel()
+    model.add_special_tokens(["<|endoftext|>", "<|im_start|>", "<|im_end|>"])
+    file = tmp_path_factory.mktemp("tok") / "tokenizer.json"
+    model.save(str(file))
+    return str(file)
+
+
+def test_round_trip_and_specials(spark, path):
+    model = CustomTokenizer(spark, path)
+    texts = ["the 你好\n", "", "a<|im_end|>b", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    rows = (
+        df.select("i", model.encode(F.col("t")).alias("ids"))
+        .select("i", "ids", model.decode(F.col("ids")).alias("d"))
+        .orderBy("i")
+        .collect()
+    )
+    assert [r.d for r in rows] == ["the 你好\n", "", "ab", ""]
+    assert rows[2].ids[1] == 2 and len(rows[2].ids) == 3
+    direct = tokenizers.Tokenizer.from_file(path)
+    assert rows[0].ids == direct.encode(texts[0]).ids
+
+
+def test_config_file(spark, tmp_path):
+    entry = {"lstrip": False, "normalized": False, "rstrip": False, "single_word": False}
+    config = {
+        "add_bos_token": False,
+        "added_tokens_decoder": {
+            "151645": {"content": "<|im_end|>", "special": True, **entry},
+            "151667": {"content": "<think>", "special": False, **entry},
+        },
+        "pad_token": "<|endoftext|>",
+    }
+    file = tmp_path / "tokenizer_config.json"
+    file.write_text(json.dumps(config, indent=2))
+    rows = read_token_config(spark, str(file)).orderBy("token_id").collect()
+    assert [tuple(r) for r in rows] == [(151645, "<|im_end|>", True), (151667, "<think>", False)]

@@ -1,10 +1,11 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.operators import context
 from millrace.operators.templates import (
-    EMPTY_THOUGHT, PLAIN, REASONING, TOOLS_AFTER, TOOLS_BEFORE, render, segments,
+    EMPTY_THOUGHT, PLAIN, REASONING, TOOLS_AFTER, TOOLS_BEFORE, render, render_nested, segments,
 )
 
 SCHEMA = (
@@ -49,6 +50,13 @@ def text(spark, style, messages, **options):
     return render(table(spark, messages), style, "conv_id", **options).first().text
 
 
+def fold(turns):
+    message = F.struct(
+        "turn", "role", "content", "reasoning_content", "functions", "tool_calls"
+    )
+    return turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(message)).alias("messages"))
+
+
 DEFAULT = block("system", "You are a helpful assistant")
 T2 = [S("S"), U("a"), A("b"), U("c")]
 T3 = [U("q"), A("", tool_calls=[("f", '{"x": 1}')]), T("r1"), T("r2"), A("done")]
@@ -106,6 +114,9 @@ def test_golden(spark, case):
     # The per-turn form with block windows adds up to the same text.
     parts = segments(table(spark, messages), style, "conv_id").orderBy("turn").collect()
     assert "".join(p.segment for p in parts) == expected
+    # So does the form for rows that hold whole conversations.
+    nested = fold(table(spark, messages))
+    assert render_nested(nested, style, "conv_id").first().text == expected
 
 
 @pytest.mark.parametrize("style", [PLAIN, REASONING])
