@@ -16,7 +16,10 @@ MAX_FILE_CHARS = 64 * 1024 * 1024
 
 
 class CustomTokenizer:
-    """Column functions around a ``tokenizer.json`` that Spark reads from ``path``."""
+    """Column functions around a ``tokenizer.json`` that Spark reads from ``path``.
+
+    Takes the place of the vocabulary tokenizer wherever samples are made.
+    """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         size = spark.read.text(path, wholetext=True).agg(F.sum(F.length("value"))).first()[0]
@@ -24,9 +27,10 @@ class CustomTokenizer:
             raise ValueError(f"tokenizer file of {size} characters, at most {MAX_FILE_CHARS}")
         text = spark.read.text(path, wholetext=True).first()[0]
         self._file = spark.sparkContext.broadcast(text)
+        self._spark = spark
 
-    def encode(self, text: Column) -> Column:
-        """Token ids, without start or end tokens added."""
+    def encode(self, text: Column, limit: int | None = None) -> Column:
+        """Token ids, without start or end tokens added; ``limit`` keeps the first ones."""
         file = self._file
 
         @F.pandas_udf("array<int>")
@@ -36,10 +40,14 @@ class CustomTokenizer:
             model = Tokenizer.from_str(file.value)
             for texts in batches:
                 encoded = model.encode_batch(texts.fillna("").tolist(), add_special_tokens=False)
-                yield pd.Series([e.ids for e in encoded])
+                yield pd.Series([e.ids[:limit] for e in encoded])
 
         return encode_batches(text)
 
+    def ids_of(self, text: str) -> list[int]:
+        """Ids of one constant such as a marker."""
+        return list(self._spark.range(1).select(self.encode(F.lit(text))).first()[0])
+
     def decode(self, ids: Column, skip_special: bool = True) -> Column:
         file = self._file
 

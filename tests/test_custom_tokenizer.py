@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.custom_tokenizer import CustomTokenizer
+from millrace.operators.samples import chat_samples
+from millrace.operators.templates import PLAIN
 from millrace.sources.tokens import read_token_config
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -42,6 +44,21 @@ def test_round_trip_and_specials(spark, path):
     assert rows[0].ids == direct.encode(texts[0]).ids
 
 
+def test_samples_with_a_tokenizer_file(spark, path):
+    model = CustomTokenizer(spark, path)
+    turns = spark.createDataFrame(
+        [(1, 0, "user", "hi"), (1, 1, "assistant", "\nthe")],
+        "conv_id int, turn bigint, role string, content string",
+    )
+    row = chat_samples(turns, model, PLAIN, "conv_id", length=120).first()
+    answer = model.ids_of("\nthe<|im_end|>\n")
+    labelled = [x for x in row.labels if x != -100]
+    assert labelled == answer and len(row.input_ids) == 120
+    start = row.labels.index(answer[0])
+    assert row.input_ids[start : start + len(answer)] == answer
+    assert row.input_ids[row.n_real :] == [0] * (120 - row.n_real)
+
+
 def test_config_file(spark, tmp_path):
     entry = {"lstrip": False, "normalized": False, "rstrip": False, "single_word": False}
     config = {
