@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+# Python workers get the processor itself, whether or not this package is installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed value: characters held back, since later tokens may still change them.
 HOLD_BACK = 3
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
