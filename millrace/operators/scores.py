@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.labels import IGNORE
 from millrace.plans.positions import hash_order
-from millrace.plans.skew import HOT_ROWS, rank_with_sums
+from millrace.plans.skew import HOT_ROWS, hot_groups, rank_with_sums
 
 # Exponents are summed in bins this wide, far inside the range of a double.
 _BIN = 64.0
@@ -68,7 +68,8 @@ def rank_candidates(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``rank``, one for the best; equal scores rank the lower candidate first."""
-    return rank_with_sums(scores, keys, logit, candidate, hot_rows=hot_rows)
+    hot = hot_groups(scores, keys, hot_rows)
+    return rank_with_sums(scores, keys, logit, candidate, hot=hot)
 
 
 def top_p(
@@ -84,15 +85,16 @@ def top_p(
     """
     if p >= 1.0:
         return probs
-    ranked = rank_with_sums(
-        probs, keys, "prob", candidate, {"_mass_before": "prob"}, hot_rows=hot_rows
-    )
+    hot = hot_groups(probs, keys, hot_rows)
+    ranked = rank_with_sums(probs, keys, "prob", candidate, {"_mass_before": "prob"}, hot=hot)
     kept = ranked.where((F.col("_mass_before") <= p) | (F.col("rank") == 1))
-    mass = kept.groupBy(*keys).agg(F.sum("prob").alias("_mass"))
-    return (
-        kept.join(mass, keys)
-        .withColumn("prob", F.col("prob") / F.col("_mass"))
-        .drop("_mass", "_mass_before", "rank")
+    if hot is None:
+        # The groups are together in their tasks already.
+        kept = kept.withColumn("_mass", F.sum("prob").over(Window.partitionBy(*keys)))
+    else:
+        kept = kept.join(kept.groupBy(*keys).agg(F.sum("prob").alias("_mass")), keys)
+    return kept.withColumn("prob", F.col("prob") / F.col("_mass")).drop(
+        "_mass", "_mass_before", "rank"
     )
 
 

@@ -17,10 +17,16 @@ CUTS = 64
 
 def hot_groups(
     df: DataFrame, keys: list[str], rows: int = HOT_ROWS, share: float = HOT_SHARE
-) -> DataFrame:
+) -> DataFrame | None:
+    """Keys of the groups that are too large for one task, or None if there are none.
+
+    Group sizes are counted right away, combined before the exchange.
+    """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
     total = sizes.agg(F.sum("_size").alias("t")).scalar()
-    return sizes.where(F.col("_size") > F.greatest(F.lit(float(rows)), total * share)).select(*keys)
+    large = F.col("_size") > F.greatest(F.lit(float(rows)), total * share)
+    found = written(sizes.where(large).select(*keys))
+    return None if found.isEmpty() else found
 
 
 def _cut_points(column: str) -> Column:
@@ -34,17 +40,16 @@ def rank_with_sums(
     tie: str,
     sums: Mapping[str, str] | None = None,
     rank: str = "rank",
-    hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Rank rows of each group by ``value`` descending, then ``tie`` ascending.
 
     ``sums`` maps a new column to the column whose sum over the better rows it gets.
-    Group sizes are counted first. Groups of ordinary size are ranked by one window; only
-    if there are hot groups are these cut into slices.
+    Groups of ordinary size are ranked by one window; the groups in ``hot`` (from
+    :func:`hot_groups`) are cut into slices.
     """
     sums = dict(sums or {})
-    hot = written(hot_groups(df, keys, hot_rows))
-    if hot.isEmpty():
+    if hot is None:
         return _ranked(df, keys, value, tie, sums, rank)
     return _ranked_in_slices(df, hot, keys, value, tie, sums, rank)
 

@@ -94,3 +94,13 @@ def test_filters_and_columns_reach_the_scan(spark):
     text = plan(kept)
     assert "GreaterThan(value,100.0)" in text
     assert "props" not in text
+
+
+def test_top_p_exchanges_rows_once(spark):
+    """Statistics of the softmax aside, one exchange by group serves rank, mass and result."""
+    from millrace.catalog import scoring
+
+    probs = scores.softmax(scoring.score_table(spark, SF), ["vec_id"])
+    text = plan(scores.top_p(probs, ["vec_id"], 0.6))
+    assert len(re.findall(r"FileScan parquet", text)) == 2
+    assert len(re.findall(r"Exchange hashpartitioning\(vec_id#\d+L, \d+\)", text)) == 2

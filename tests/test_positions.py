@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.plans import blocks, positions, slicing
-from millrace.plans.skew import rank_with_sums
+from millrace.plans.skew import hot_groups, rank_with_sums
 from millrace.sources import jsonl
 
 
@@ -120,9 +120,11 @@ def test_hot_groups_rank_like_others(spark, hot_rows):
     rows = [(1, i, 0.5 if i % 2 else rng.randrange(60) / 60, float(i % 3)) for i in range(3000)]
     rows += [(2, i, rng.random(), 1.0) for i in range(5)]
     df = spark.createDataFrame(rows, "g int, c int, v double, w double")
+    hot = hot_groups(df, ["g"], hot_rows)
+    assert (hot is None) == (hot_rows > 3000)
     got = {
         (r.g, r.c): (r.rank, r.before)
-        for r in rank_with_sums(df, ["g"], "v", "c", {"before": "w"}, hot_rows=hot_rows).collect()
+        for r in rank_with_sums(df, ["g"], "v", "c", {"before": "w"}, hot=hot).collect()
     }
     expected = {}
     for g in (1, 2):
