@@ -29,7 +29,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(load(spark, folder, "documents", "doc_id", "text"), "doc_id")
+    return spread(load(spark, folder, "documents", "doc_id", "text"))
 
 
 def turns(spark: SparkSession, folder: str) -> DataFrame:
@@ -43,11 +43,7 @@ def indexed_documents(spark: SparkSession, folder: str) -> DataFrame:
 @lru_cache(maxsize=16)
 def _tokenizer(_application: str, spark: SparkSession, folder: str, name: str) -> Tokenizer:
     """Each vocabulary is counted and written once per application, like any other table."""
-    texts = spread(load(spark, folder, name), TEXT_KEYS[name]).select("text")
-    return Tokenizer(build_vocab(texts))
-
-
-TEXT_KEYS = {"documents": "doc_id", "conversations": "conv_id"}
+    return Tokenizer(build_vocab(spread(load(spark, folder, name, "text"))))
 
 
 def document_tokenizer(spark: SparkSession, folder: str) -> Tokenizer:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.plans.blocks import with_blocks
+from millrace.session import limit_groups_early
 
 # The markers and texts of both templates.
 TURN_START = "<|im_start|>"
@@ -91,6 +92,7 @@ def leading_turns(turns: DataFrame, count: int, *keys: str) -> DataFrame:
     Every rendered turn gives at least one token. The rank filter is applied on the map side
     too, so even a conversation that holds much of the table sends few rows.
     """
+    limit_groups_early(turns.sparkSession, count + 1)
     order = Window.partitionBy(*keys).orderBy("turn")
     return (
         turns.where(F.col("role").isin(*RENDERED_ROLES) | (F.col("turn") == 0))

@@ -34,7 +34,7 @@ def load(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFram
     return table.select(*columns) if columns else table
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
+def spread(scan: DataFrame) -> DataFrame:
     """Even out a scan that has fewer splits than the cluster has cores.
 
     A large input has far more splits than cores and is returned untouched, so the
@@ -43,7 +43,17 @@ def spread(scan: DataFrame, key: str) -> DataFrame:
     cores = scan.sparkSession.sparkContext.defaultParallelism
     if scan.rdd.getNumPartitions() >= _PARALLEL_SCANS * cores:
         return scan
-    return scan.repartition(cores, key)
+    return scan.repartition(cores)
+
+
+def limit_groups_early(spark: SparkSession, rows: int) -> None:
+    """Let rank filters of up to ``rows`` rows per group run before the exchange as well.
+
+    Spark does so only up to a threshold, which this raises for the session if needed.
+    """
+    name = "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(spark.conf.get(name, "1000")) < rows:
+        spark.conf.set(name, str(rows))
 
 
 def scratch_folder(spark: SparkSession) -> str:

@@ -9,7 +9,7 @@ from millrace.functions.jsontext import spaced
 from millrace.plans.positions import index_files
 
 STATUSES = ("ok", "blank", "bad_json", "missing_key")
-_BLANK = r"(?U)^[\s\x1c-\x1f]*$"
+_SPACE = r"[\s\x1c-\x1f]"
 _STRICT = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "_corrupt"}
 
 MESSAGES = (
@@ -24,21 +24,35 @@ def scan_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return index_files(spark.read.option("lineSep", "\n").text(path))
 
 
+def stripped(line: Column) -> Column:
+    """Without white space of any script at either end; most lines have none."""
+    edges = F.concat(F.left(line, F.lit(1)), F.right(line, F.lit(1)))
+    bare = F.regexp_replace(line, f"(?U)^{_SPACE}+|{_SPACE}+$", "")
+    return F.when(edges.rlike(f"(?U){_SPACE}"), bare).otherwise(line)
+
+
+def _fields(line: Column, key: str) -> Column:
+    """The one parse that status and text share: the field's text, or the corrupt line."""
+    return F.from_json(line, f"struct<`{key}`:string,_corrupt:string>", _STRICT)
+
+
 def line_status(line: Column, key: str) -> Column:
     """Why reading ``key`` from this line would fail, or ``ok``."""
-    parsed = F.from_json(line, "struct<_corrupt:string>", _STRICT)
-    keys = F.json_object_keys(line)
-    # The brackets turn trailing text after the object into an error; anything that is not
-    # an object has no keys.
-    single = F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1
-    valid = F.coalesce(
-        parsed["_corrupt"].isNull() & single & keys.isNotNull(), F.lit(False)
+    line = stripped(line)
+    parsed = _fields(line, key)
+    # The parser stops behind the object. If the first brace that closes is the last
+    # character, nothing can follow it; else the brackets turn what follows into an error.
+    alone = F.locate("}", line) == F.length(line)
+    single = alone | (F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1)
+    is_object = line.startswith("{") & parsed["_corrupt"].isNull()
+    # A missing field and a null one look alike in the parsed row.
+    present = parsed[key].isNotNull() | F.coalesce(
+        F.array_contains(F.json_object_keys(line), key), F.lit(False)
     )
-    has_key = F.coalesce(F.array_contains(keys, key), F.lit(False))
     return (
-        F.when(line.rlike(_BLANK), "blank")
-        .when(~valid, "bad_json")
-        .when(~has_key, "missing_key")
+        F.when(line == "", "blank")
+        .when(~F.coalesce(is_object & single, F.lit(False)), "bad_json")
+        .when(~present, "missing_key")
         .otherwise("ok")
     )
 
@@ -72,7 +86,8 @@ def text_of(line: Column, key: str = "text") -> Column:
 
     Arrays and objects keep their JSON text.
     """
-    raw = F.from_json(line, f"struct<`{key}`:string>", _STRICT)[key]
+    line = stripped(line)
+    raw = _fields(line, key)[key]
     kind = F.schema_of_variant(F.variant_get(F.try_parse_json(line), f"$.{key}", "variant"))
     # Only these two words can be a boolean, so the second parse is rare.
     as_text = F.when(
@@ -115,7 +130,8 @@ def read_nested(lines: DataFrame, mode: str = "failfast") -> DataFrame:
     Tool signatures and object arguments become JSON text in ``json.dumps`` spacing;
     content that is not a string becomes null.
     """
-    raw = F.from_json("value", f"struct<conversations:{MESSAGES}>")["conversations"]
+    line = stripped(F.col("value"))
+    raw = F.from_json(line, f"struct<conversations:{MESSAGES}>")["conversations"]
     return checked(lines, "conversations", mode).select(
         "row_idx", F.transform(raw, _message).alias("messages")
     )

@@ -12,8 +12,10 @@ _MESSAGES = "array<struct<role:string,content:string>>"
 
 def messages_of(content: Column) -> Column:
     """The stored messages; empty, invalid or non-array text gives an empty array."""
-    is_array = F.coalesce(F.ltrim(content).startswith("["), F.lit(False))
-    parsed = F.when(is_array, F.from_json(content, _MESSAGES))
+    # In brackets of its own, text behind the array becomes an error or a second element.
+    alone = F.json_array_length(F.concat(F.lit("["), content, F.lit("]"))) == 1
+    is_array = F.coalesce(content.rlike(r"^\s*\[") & alone, F.lit(False))
+    parsed = F.when(is_array, F.from_json(content, _MESSAGES, {"allowSingleQuotes": "false"}))
     return F.coalesce(parsed, F.array().cast(_MESSAGES))
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from millrace.session import limit_groups_early
+
 # Python workers get the processor itself, whether or not this package is installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -119,7 +121,7 @@ def batch_text(
     if end_token is not None:
         kept = kept.where(F.col("token") != end_token)
     if max_tokens is not None:
-        # The rank filter also runs before the exchange.
+        limit_groups_early(tokens.sparkSession, max_tokens)
         order = Window.partitionBy("session_id").orderBy("seq")
         kept = kept.withColumn("_nth", F.row_number().over(order)).where(
             F.col("_nth") <= max_tokens

@@ -42,7 +42,9 @@ def test_failfast_only_on_access(mixed):
     [
         ('{"text": "a"} x', "bad_json"), ('{"text": 1}{"text": 2}', "bad_json"),
         ("{'text': 1}", "bad_json"), ("[1]", "bad_json"), ("7", "bad_json"),
-        (" \t　", "blank"), ('  {"text": {"a": [1, 2]}} ', "ok"),
+        (" \t　", "blank"), ("\t{\"text\": 1}\r", "ok"), ("　{\"text\": \"}\"}", "ok"),
+        ("[{\"text\": 1}]", "bad_json"), ("{}", "missing_key"), ("null", "bad_json"),
+        ("{\"text\": null} ", "ok"), ("{\"text\": {\"a\": 1}} {\"b\": 2}", "bad_json"), ('  {"text": {"a": [1, 2]}} ', "ok"),
         ('{"text": "a",}', "bad_json"), ('{"text": "a", "text": "b"}', "ok"),
     ],
 )
@@ -63,6 +65,11 @@ def test_text_of_scalars(spark, value, text):
     assert df.select(jsonl.text_of(F.col("value")).alias("t")).first().t == text == str(value)
 
 
+def test_text_of_a_line_with_white_space_around(spark):
+    df = spark.createDataFrame([("\t　{\"text\": \" a \"}\r",)], "value string")
+    assert df.select(jsonl.text_of(F.col("value")).alias("t")).first().t == " a "
+
+
 def test_json_spacing_matches_dumps(spark):
     values = [
         {"a": 1, "b": [1, 2, {"c": "x,y:z"}], "d": 'q"u\\o,te'}, [], {}, {"e": ""}, "a,b", 5,

@@ -45,8 +45,9 @@ def test_encode_and_decode_are_narrow(spark, tokenizer):
     assert "Exchange" not in text and "Python" not in text
 
 
-def test_chat_samples_shuffle_once_and_limit_before(spark, turns, tokenizer):
-    df = samples.chat_samples(turns, tokenizer, templates.PLAIN, "conv_id", length=340)
+@pytest.mark.parametrize("length", [340, 1024])
+def test_chat_samples_shuffle_once_and_limit_before(spark, turns, tokenizer, length):
+    df = samples.chat_samples(turns, tokenizer, templates.PLAIN, "conv_id", length=length)
     assert exchanges(df) == 1
     text = plan(df)
     # The rank filter runs once before and once after the exchange.

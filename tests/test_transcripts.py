@@ -52,8 +52,10 @@ def test_stored_text_is_what_dumps_writes(spark):
 
 
 def test_texts_without_messages(spark):
-    texts = ["", "not json", '{"a":1}', '{"role":"user","content":"x"}', "[", "null", "[]", None, '"s"']
+    texts = ["", "not json", '{"a":1}', '{"role":"user","content":"x"}', "[", "null", "[]", None, '"s"',
+             '[{"role": "user", "content": "x"}] more', '[{"role": "user", "content": "x"}],[]',
+             "[{'role': 'user', 'content': 'x'}]"]
     df = spark.createDataFrame([(f"u{i}", t) for i, t in enumerate(texts)], "username string, content string")
     assert parse_transcripts(df).count() == 0
-    kept = df.limit(1).withColumn("content", F.lit(' [{"role": "user", "content": "x", "more": 1}]'))
+    kept = df.limit(1).withColumn("content", F.lit('\n\t[{"role": "user", "content": "x", "more": 1}]'))
     assert parse_transcripts(kept).first().text == "x"
