@@ -36,16 +36,20 @@ def upkeep(events: DataFrame, path: str, checkpoint: str, **trigger) -> Streamin
     )
 
 
+def merge(deltas: DataFrame) -> DataFrame:
+    """One delta for many, in any order; written as a new table it shortens a long history."""
+    return deltas.groupBy("username").agg(
+        F.min("first_login").alias("first_login"), F.max("last_update").alias("last_update")
+    )
+
+
 def resolve(deltas: DataFrame) -> DataFrame:
-    """(username, content, first_login) from deltas in any order.
+    """(username, content, first_login) from deltas.
 
     A user exists from the first login on; an update before it found no row to change.
     """
-    merged = deltas.groupBy("username").agg(
-        F.min("first_login").alias("first_login"), F.max("last_update").alias("last_update")
-    )
     counts = F.col("last_update.seq") > F.col("first_login")
-    return merged.where(F.col("first_login").isNotNull()).select(
+    return merge(deltas).where(F.col("first_login").isNotNull()).select(
         "username",
         F.when(counts, F.col("last_update.content")).otherwise("").alias("content"),
         "first_login",

@@ -89,6 +89,11 @@ def test_upkeep_resolves_any_batching(spark, tmp_path):
     got = {r.username: r.content for r in upkeep.current(spark, out).collect()}
     assert got == table
 
+    # Merged deltas say the same.
+    deltas = spark.read.schema(upkeep.DELTA).parquet(out)
+    again = upkeep.resolve(upkeep.merge(deltas).unionByName(deltas.select("username", "first_login", "last_update")))
+    assert {r.username: r.content for r in again.collect()} == table
+
     # A replayed batch overwrites its own delta.
     upkeep._write_delta(out, spark.createDataFrame(rows[2::3], EVENTS), 2)
     files = list((tmp_path / "table").iterdir())
