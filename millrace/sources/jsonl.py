@@ -9,6 +9,7 @@ from millrace.functions.jsontext import spaced
 from millrace.plans.positions import index_files
 
 STATUSES = ("ok", "blank", "bad_json", "missing_key")
+MODES = ("failfast", "quarantine", "drop")
 _SPACE = r"[\s\x1c-\x1f]"
 _STRICT = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "_corrupt"}
 
@@ -36,10 +37,7 @@ def _fields(line: Column, key: str) -> Column:
     return F.from_json(line, f"struct<`{key}`:string,_corrupt:string>", _STRICT)
 
 
-def line_status(line: Column, key: str) -> Column:
-    """Why reading ``key`` from this line would fail, or ``ok``."""
-    line = stripped(line)
-    parsed = _fields(line, key)
+def _status(line: Column, parsed: Column, key: str) -> Column:
     # The parser stops behind the object. If the first brace that closes is the last
     # character, nothing can follow it; else the brackets turn what follows into an error.
     alone = F.locate("}", line) == F.length(line)
@@ -57,37 +55,43 @@ def line_status(line: Column, key: str) -> Column:
     )
 
 
+def line_status(line: Column, key: str) -> Column:
+    """Why reading ``key`` from this line would fail, or ``ok``."""
+    return _status(stripped(line), _fields(stripped(line), key), key)
+
+
+def _parsed(lines: DataFrame, key: str, mode: str) -> DataFrame:
+    """Add ``_line``, ``_row`` and ``status``, each worked out once per line, and apply the
+    error rule to ``_line``."""
+    if mode not in MODES:
+        raise ValueError(f"unknown mode {mode!r}")
+    rows = (
+        lines.withColumn("_line", stripped(F.col("value")))
+        .withColumn("_row", _fields(F.col("_line"), key))
+        .withColumn("status", _status(F.col("_line"), F.col("_row"), key))
+    )
+    if mode == "drop":
+        return rows.where(F.col("status") == "ok")
+    if mode == "quarantine":
+        return rows
+    message = F.concat(F.col("status"), F.lit(" at row "), F.col("row_idx").cast("string"))
+    good = F.when(F.col("status") == "ok", F.col("_line"))
+    return rows.withColumn("_line", good.otherwise(F.raise_error(message).cast("string")))
+
+
 def checked(lines: DataFrame, key: str, mode: str = "failfast") -> DataFrame:
     """Apply the error rule when rows are read, not when they are scanned.
 
     ``failfast`` raises on the first bad row that is reached, ``drop`` leaves bad rows out,
     ``quarantine`` keeps all rows with a ``status``.
     """
-    rows = lines.withColumn("status", line_status(F.col("value"), key))
-    if mode == "quarantine":
-        return rows
-    if mode == "drop":
-        return rows.where(F.col("status") == "ok").drop("status")
-    if mode != "failfast":
-        raise ValueError(f"unknown mode {mode!r}")
-    message = F.concat(
-        F.col("status"), F.lit(" at row "), F.col("row_idx").cast("string")
-    )
-    return rows.select(
-        "row_idx",
-        F.when(F.col("status") == "ok", F.col("value"))
-        .otherwise(F.raise_error(message).cast("string"))
-        .alias("value"),
-    )
+    rows = _parsed(lines, key, mode)
+    kept = ["status"] if mode == "quarantine" else []
+    return rows.select("row_idx", F.col("_line").alias("value"), *kept)
 
 
-def text_of(line: Column, key: str = "text") -> Column:
-    """The field as text: numbers as written, null as ``None``, booleans capitalised.
-
-    Arrays and objects keep their JSON text.
-    """
-    line = stripped(line)
-    raw = _fields(line, key)[key]
+def _text(line: Column, row: Column, key: str) -> Column:
+    raw = row[key]
     kind = F.schema_of_variant(F.variant_get(F.try_parse_json(line), f"$.{key}", "variant"))
     # Only these two words can be a boolean, so the second parse is rare.
     as_text = F.when(
@@ -96,8 +100,24 @@ def text_of(line: Column, key: str = "text") -> Column:
     return F.coalesce(as_text, F.lit("None"))
 
 
+def text_of(line: Column, key: str = "text") -> Column:
+    """The field as text: numbers as written, null as ``None``, booleans capitalised.
+
+    Arrays and objects keep their JSON text.
+    """
+    line = stripped(line)
+    return _text(line, _fields(line, key), key)
+
+
 def read_pretrain(lines: DataFrame, mode: str = "failfast") -> DataFrame:
-    return checked(lines, "text", mode).withColumn("text", text_of(F.col("value"))).drop("value")
+    """(row_idx, text), with ``status`` if bad rows are kept."""
+    rows = _parsed(lines, "text", mode)
+    # Touching the line makes a bad one raise; rows that are kept as bad have no text.
+    quarantine = mode == "quarantine"
+    good = F.col("status") == "ok" if quarantine else F.col("_line").isNotNull()
+    text = F.when(good, _text(F.col("_line"), F.col("_row"), "text"))
+    kept = ["status"] if quarantine else []
+    return rows.select("row_idx", text.alias("text"), *kept)
 
 
 def _string_only(value: Column) -> Column:
@@ -130,8 +150,7 @@ def read_nested(lines: DataFrame, mode: str = "failfast") -> DataFrame:
     Tool signatures and object arguments become JSON text in ``json.dumps`` spacing;
     content that is not a string becomes null.
     """
-    line = stripped(F.col("value"))
-    raw = F.from_json(line, f"struct<conversations:{MESSAGES}>")["conversations"]
+    raw = F.from_json("value", f"struct<conversations:{MESSAGES}>")["conversations"]
     return checked(lines, "conversations", mode).select(
         "row_idx", F.transform(raw, _message).alias("messages")
     )

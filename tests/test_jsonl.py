@@ -28,6 +28,13 @@ def test_drop_and_coerce(mixed):
     assert [(r.row_idx, r.text) for r in rows] == [(0, "a"), (2, "1"), (3, "None"), (6, "z")]
 
 
+def test_quarantine_keeps_rows_without_text(mixed):
+    rows = jsonl.read_pretrain(mixed, "quarantine").orderBy("row_idx").collect()
+    assert [r.text for r in rows] == ["a", None, "1", "None", None, None, "z"]
+    with pytest.raises(ValueError):
+        jsonl.read_pretrain(mixed, "ignore")
+
+
 def test_failfast_only_on_access(mixed):
     assert mixed.count() == 7
     good = jsonl.read_pretrain(mixed.where("row_idx in (0, 2, 6)"))
