@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import packing, token_counts, token_files  # noqa: F401
+from millrace.llm import bit_sliced, packing, token_counts, token_files  # noqa: F401
 from millrace.llm.base import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
