@@ -215,7 +215,6 @@ def top_k(
         "_dims", F.col("_block").alias("_query_block"), F.col("_cells").alias("_queries")
     )
     pairs = asked.join(index.select("_dims", "_block"), "_dims")
-    # Few rows, each a block: spread them before the larger blocks are fetched.
     met = pairs.join(index, ["_dims", "_block"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,8 +238,7 @@ def top_k(
                     names=["query_id", "query_uid", "vec_id", "uid", "score"],
                 )
 
-    tasks = met.select("_queries", "_cells", F.xxhash64("_dims", "_block", "_query_block").alias("_h"))
-    found = tasks.drop("_h").mapInArrow(run, _FOUND)
+    found = met.select("_queries", "_cells").mapInArrow(run, _FOUND)
     best = Window.partitionBy("query_uid").orderBy(F.desc("score"), "vec_id", "uid")
     return (
         found.withColumn("rank", F.row_number().over(best))
