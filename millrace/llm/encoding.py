@@ -26,8 +26,8 @@ _ODD_SPACE = "\\t\\x0b-\\r\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\
 _ODD = re.compile(f"[{_ODD_SPACE}]")
 _RUNS = re.compile(f"([ \\n{_ODD_SPACE}]+)|[^ \\n{_ODD_SPACE}]+")
 # Letters whose lower case and composition are the same everywhere, then ASCII punctuation
-# but for the apostrophe.
-_PLAIN = re.compile("([A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff]+)([!-&(-/:-@\\[-`{-~]*)")
+# but for the apostrophe; a blank may stand before them.
+_PLAIN = re.compile("( ?)([A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff]+)([!-&(-/:-@\\[-`{-~]*)")
 
 
 def load_tokenizer(path: str):
@@ -143,30 +143,27 @@ def id_bytes(path: str, keeps_space: bool) -> Callable[[str], bytes]:
     blanks, or words in lower case without white space.
     """
     tokenizer = load_tokenizer(path)
-    model = tokenizer.model
+    tokenize = tokenizer.model.tokenize
     little = sys.byteorder == "little" and array("I").itemsize == ID.itemsize
 
     def packed(ids: list[int]) -> bytes:
         return array("I", ids).tobytes() if little else np.array(ids, dtype=ID).tobytes()
 
     def by_model(part: str) -> bytes:
-        return packed([token.id for token in model.tokenize(lettered(part))])
+        return packed([token.id for token in tokenize(lettered(part))])
 
     parts = Remembered(by_model)
 
     def make(unit: str) -> bytes:
-        blank = " " if keeps_space and unit[:1] == " " else ""
-        plain = _PLAIN.fullmatch(unit, len(blank))
-        if plain is None:
+        plain = _PLAIN.fullmatch(unit)
+        if plain is None or (plain[1] and not keeps_space):
             return packed(tokenizer.encode(unit, add_special_tokens=False).ids)
-        word, tail = plain.groups()
+        blank, word, tail = plain.groups()
         if not keeps_space:
             word = word.lower()
-            if len(word) == len(unit):
-                return by_model(word)
-        elif not tail:
-            return by_model(unit)
-        return parts[blank + word] + (parts[tail] if tail else b"")
+        if tail:
+            return parts[blank + word] + parts[tail]
+        return by_model(blank + word)
 
     units = (Units if keeps_space else Words)(make)
     return lambda text: b"".join(units(text))

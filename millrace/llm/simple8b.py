@@ -14,23 +14,28 @@ ESCAPE = (1 << 60) - 1
 BLOCK = 1024
 
 
-def _reach(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """For each selector and place, how many values from there on fit its width.
+def _bits(values: np.ndarray) -> np.ndarray:
+    """Bits that each value needs; zero needs none."""
+    upper = np.frexp((values >> np.uint64(32)).astype(np.float64))[1]
+    lower = np.frexp((values & np.uint64(0xFFFFFFFF)).astype(np.float64))[1]
+    return np.where(upper > 0, upper + 32, lower).astype(np.uint8)
 
-    ``ends`` has the end of each value's block; a run that reaches it counts as endless.
+
+def _selectors(bits: np.ndarray) -> np.ndarray:
+    """For each place of each block, the selector that takes most values from there on.
+
+    ``bits`` has a row per block and zeros behind its values, enough for the longest run.
+    The most bits within a run come from those of two shorter runs that cover it.
     """
-    n = len(values)
-    places = np.arange(n)
-    reach = np.empty((len(WIDTHS), n), dtype=np.int64)
-    for k, width in enumerate(WIDTHS):
-        if k and width == WIDTHS[k - 1]:
-            reach[k] = reach[k - 1]
-            continue
-        wide = values >> np.uint64(width) != 0
-        stop = np.where(wide, places, n)
-        stop = np.minimum.accumulate(stop[::-1])[::-1]
-        reach[k] = np.where(stop >= ends, BLOCK, stop - places)
-    return reach
+    most = {1: bits}
+    for count in COUNTS[-2::-1]:
+        half = max(n for n in most if n < count and 2 * n >= count)
+        step, known = count - half, most[half]
+        most[count] = np.maximum(known[:, :-step], known[:, step:])
+    best = np.full((len(bits), BLOCK), len(COUNTS) - 1, dtype=np.uint8)
+    for k in range(len(COUNTS) - 2, -1, -1):
+        best[most[COUNTS[k]][:, :BLOCK] <= WIDTHS[k]] = k
+    return best
 
 
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -44,37 +49,40 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if len(escapes):
         values = np.where(escaped, np.uint64(ESCAPE), values)
     n = len(values)
-    starts = np.arange(0, n, BLOCK)
-    stops = np.minimum(starts + BLOCK, n)
-    reach = _reach(values, np.repeat(stops, stops - starts))
+    if not n:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), escapes
+    blocks = -(-n // BLOCK)
+    lengths = np.full(blocks, BLOCK)
+    lengths[-1] = n - (blocks - 1) * BLOCK
+    padded = np.zeros((blocks, BLOCK + COUNTS[0]), dtype=np.uint64)
+    padded[:, :BLOCK].flat[:n] = values
+    best = _selectors(_bits(padded))
     counts = np.array(COUNTS)
-    at, lanes = starts.copy(), np.arange(len(starts))
+    lanes, at = np.arange(blocks), np.zeros(blocks, dtype=np.int64)
     froms, lane, chosen = [], [], []
     while len(lanes):
-        selector = np.argmax(reach[:, at] >= counts[:, None], axis=0)
+        selector = best[lanes, at]
         froms.append(at)
         lane.append(lanes)
         chosen.append(selector)
         at = at + counts[selector]
-        going = at < stops[lanes]
+        going = at < lengths[lanes]
         at, lanes = at[going], lanes[going]
-    if not froms:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), escapes
     froms, lane, chosen = map(np.concatenate, (froms, lane, chosen))
-    order = np.argsort(froms, kind="stable")
+    order = np.lexsort((froms, lane))
     froms, lane, chosen = froms[order], lane[order], chosen[order]
     words = chosen.astype(np.uint64) << np.uint64(60)
+    flat = padded.reshape(-1)
+    starts = lane * padded.shape[1] + froms
     for k, (count, width) in enumerate(zip(COUNTS, WIDTHS, strict=True)):
         rows = np.flatnonzero(chosen == k)
         if not len(rows) or not width:
             continue
-        places = froms[rows, None] + np.arange(count)
-        inside = places < stops[lane[rows], None]
-        held = np.where(inside, values[np.minimum(places, n - 1)], np.uint64(0))
-        shifts = np.arange(count, dtype=np.uint64) * np.uint64(width)
-        words[rows] |= np.bitwise_or.reduce(held << shifts, axis=1)
-    first = np.searchsorted(lane, np.arange(len(starts)))
-    return words, first.astype(np.int64), escapes
+        packed, places = words[rows], starts[rows]
+        for i in range(count):
+            packed |= flat[places + i] << np.uint64(i * width)
+        words[rows] = packed
+    return words, np.searchsorted(lane, np.arange(blocks)).astype(np.int64), escapes
 
 
 def decode(words: np.ndarray, first: np.ndarray, escapes: np.ndarray, n: int) -> np.ndarray:

@@ -80,10 +80,10 @@ def token_counter(path: str) -> Callable[[str], int]:
     known = Remembered(lambda letters: merged_length(list(letters), ranks))
 
     def count(unit: str) -> int:
-        plain = _PLAIN.fullmatch(unit, 1 if unit[:1] == " " else 0)
+        plain = _PLAIN.fullmatch(unit)
         if plain is not None:
-            word = known[lettered(unit[: plain.end(1)])]
-            return word + (known[lettered(plain[2])] if plain[2] else 0)
+            word = known[lettered(plain[1] + plain[2])]
+            return word + (known[lettered(plain[3])] if plain[3] else 0)
         pieces = cut.split(unit) if cut else [unit]
         # Every second piece is a special string.
         return len(pieces) // 2 + sum(
