@@ -44,9 +44,12 @@ def _table(name: str, base: np.uint64, n: int) -> np.ndarray:
     return _KNOWN[name][:n]
 
 
-def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of each word; a word is a polynomial in random numbers for its bytes."""
-    word = ~_BLANK[data]
+def word_hashes(data: np.ndarray, blank: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray]:
+    """Start and hash of each word; a word is a polynomial in random numbers for its bytes.
+
+    ``blank`` tells of each byte whether it parts words.
+    """
+    word = ~blank[data]
     edges = np.flatnonzero(np.diff(np.concatenate(([False], word, [False])).view(np.int8)))
     starts, ends = edges[::2], edges[1::2]
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
@@ -64,7 +67,7 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
         return []
     parts = [(text or "").encode().lower() for text in texts]
     data = np.frombuffer(b"\n".join(parts) + b"\n", dtype=np.uint8)
-    places, words = _word_hashes(data)
+    places, words = word_hashes(data)
     bounds = np.cumsum([len(part) + 1 for part in parts])
     ends = np.searchsorted(places, bounds)
     scale = _powers(_ODD, SHINGLE + 1)
