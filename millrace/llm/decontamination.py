@@ -117,21 +117,22 @@ def _occurrences(docs: DataFrame, lengths: list[int], prefixes: DataFrame) -> Da
     lo = F.greatest(F.col("lo"), -shift)
     hi = F.least(F.col("hi"), F.col("n") - F.col("len") - shift)
     found = found.where((is_doc & F.col("off").isNull()) | (~is_doc & (lo <= hi)))
-    starts = F.when(
-        ~is_doc,
-        F.transform(
-            F.filter(
-                F.sequence(lo, hi),
-                lambda w: F.slice("words", shift + w + 1, F.col("len"))
-                == F.slice("part", w - F.col("lo") + 1, F.col("len")),
-            ),
-            lambda w: w + shift,
-        ),
-    )
+    # Only the words around a place leave the pass over its document.
     found = found.select(
-        "doc", "hash", F.when(is_doc, F.col("n")).alias("n"), "item_id", "len", starts.alias("starts")
+        "doc", "hash", "item_id", "len", F.when(is_doc, F.col("n")).alias("n"),
+        (shift + lo).alias("at"), (hi - lo).alias("more"),
+        F.slice("part", lo - F.col("lo") + 1, hi - lo + F.col("len")).alias("part"),
+        F.when(~is_doc, F.slice("words", shift + lo + 1, hi - lo + F.col("len"))).alias("near"),
+    )
+    alike = F.filter(
+        F.sequence(F.lit(0), F.col("more")),
+        lambda w: F.slice("near", w + 1, F.col("len")) == F.slice("part", w + 1, F.col("len")),
     )
-    return found.where(F.col("n").isNotNull() | (F.size("starts") > 0))
+    # All windows at once where the whole stretch is equal, as it mostly is.
+    good = F.when(F.col("near") == F.col("part"), F.sequence(F.lit(0), F.col("more"))).otherwise(alike)
+    starts = F.when(F.col("n").isNull(), F.transform(good, lambda w: w + F.col("at")))
+    # A filter on the result would move into the join and end its generated code there.
+    return found.select("doc", "hash", "n", "item_id", "len", starts.alias("starts"))
 
 
 def contamination(
@@ -186,7 +187,7 @@ def contamination(
         if block:
             found = found.where("n IS NULL")
         rows = found if rows is None else rows.unionByName(found)
-    hit = F.when(F.col("starts").isNotNull(), F.struct("item_id", "len", "starts"))
+    hit = F.when(F.size("starts") > 0, F.struct("item_id", "len", "starts"))
     judged = rows.groupBy("doc", "hash").agg(
         F.max("n").alias("n_words"), F.count("n").alias("copies"), F.collect_list(hit).alias("hits")
     )
