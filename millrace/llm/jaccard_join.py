@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.base import id_type, query
@@ -106,15 +106,15 @@ def _dealt(docs: DataFrame, text: str, scheme: PartEnum, buckets: int) -> DataFr
     return docs.select(text).mapInArrow(run, "bucket bigint, entries binary, signs binary")
 
 
-_MET = "a bigint, b bigint, band int, shared int, need int, `group` bigint"
+_MET = "a bigint, b bigint, band int, shared int, need int, `group` bigint, size int"
 
 
 def _meet(table: pa.Table) -> pa.Table:
     """What one bucket holds: pairs, and members of the groups that are too large for pairs.
 
     A pair (``a < b``) comes with the number of signatures of small groups that it shares
-    here, and the larger ``need``. Of a large group come its members, with ``group`` and
-    their ``need``, and a pair of its first member with each other one.
+    here, and the larger ``need``. Of a large group come its members, with ``group``, its
+    ``size`` and their ``need``, and a pair of its first member with each other one.
     """
     entries, signs, at = [], [], 0
     for e, s in zip(table.column("entries").to_pylist(), table.column("signs").to_pylist(), strict=True):
@@ -153,10 +153,11 @@ def _meet(table: pa.Table) -> pa.Table:
             for j in range(i + 1, size):
                 pairs.append(np.stack((owner[first + i], owner[first + j]), axis=1))
                 counts.append(np.ones(len(first), dtype=np.int64))
-    groups, members = [], []
+    groups, members, held = [], [], []
     for start, size in zip(starts[sizes > COLD].tolist(), sizes[sizes > COLD].tolist(), strict=True):
         own = owner[start : start + size]
         members.append(own)
+        held.append(np.full(size, size, dtype=np.int32))
         groups.append(np.full(size, int(value[start]) << 8 | int(band[start]) & 0xFF, dtype=np.int64))
         pairs.append(np.stack((np.full(size - 1, own[0]), own[1:]), axis=1))
         counts.append(np.zeros(size - 1, dtype=np.int64))
@@ -167,6 +168,7 @@ def _meet(table: pa.Table) -> pa.Table:
     a, b = code // len(known), code % len(known)
     m = np.concatenate(members) if members else np.zeros(0, np.int64)
     g = np.concatenate(groups) if groups else np.zeros(0, np.int64)
+    sizes = np.concatenate(held) if held else np.zeros(0, np.int32)
     return pa.table(
         {
             "a": pa.array(np.concatenate((known["key"][a], known["key"][m]))),
@@ -176,19 +178,25 @@ def _meet(table: pa.Table) -> pa.Table:
             "need": pa.array(
                 np.concatenate((np.maximum(known["need"][a], known["need"][b]), known["need"][m]))
             ),
-            "group": pa.array(np.concatenate((np.zeros_like(a), g)), mask=np.arange(len(a) + len(m)) < len(a)),
+            "group": pa.array(
+                np.concatenate((np.zeros_like(a), g)), mask=np.arange(len(a) + len(m)) < len(a)
+            ),
+            "size": pa.array(np.concatenate((np.zeros(len(a), np.int32), sizes))),
         }
     )
 
 
 def _candidates(met: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs that share enough signatures, and the members of large groups that may need more.
+    """Pairs that share enough signatures, and the members of large groups that need more.
 
     Two similar sets share at least ``need`` signatures. Those in small groups are counted;
-    in large groups they share no more than either has there.
+    in large groups they share no more than either has there. If all signatures are ordered
+    by the size of their group, two sets with ``need`` in common still have one in common
+    when each leaves out its last ``need - 1``. So a set leaves as many large groups, the
+    largest first; most sets leave them all.
     """
     hot = met.where("`group` IS NOT NULL").select(
-        F.col("a").alias("key"), "band", "need", "group", "bucket"
+        F.col("a").alias("key"), "band", "need", "bucket", "group", "size"
     )
     there = hot.groupBy("key", "band").agg(F.count(F.lit(1)).alias("hot"))
     pairs = (
@@ -197,8 +205,9 @@ def _candidates(met: DataFrame) -> tuple[DataFrame, DataFrame]:
         .agg(F.sum("shared").alias("shared"), F.max("need").alias("need"))
     )
     kept = _enough(pairs, there).select("a", "b").distinct()
-    heavy = hot.join(there, ["key", "band"]).where("hot >= need")
-    return kept, heavy
+    last = Window.partitionBy("key", "band").orderBy(F.desc("size"), "bucket", "group")
+    heavy = hot.withColumn("place", F.row_number().over(last)).where("place >= need")
+    return kept, heavy.select("key", "bucket", "group")
 
 
 def _enough(pairs: DataFrame, there: DataFrame) -> DataFrame:
@@ -257,6 +266,80 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, scheme: Par
     return sized.select("u", "v", "text_u", "text_v").mapInArrow(run, "u bigint, v bigint").distinct()
 
 
+def _shingle_rows(nodes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """``cid, n, label, h``: a row for each shingle of the given classes."""
+    texts = docs.select(F.col("doc").alias("_doc"), F.col("hash").alias("_hash"), F.col(text).alias("text"))
+    held = nodes.join(
+        texts, (nodes["hash"] == texts["_hash"]) & nodes["doc"].eqNullSafe(texts["_doc"])
+    ).select("cid", "n", "label", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(3).to_pylist()
+            for start, end in chunks(texts):
+                sets = [pa.array(s.view(np.int64)) for s in shingle_sets(texts[start:end])]
+                part = batch.slice(start, end - start)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:3], pa.array([s.tolist() for s in sets], pa.list_(pa.int64()))],
+                    names=["cid", "n", "label", "h"],
+                )
+
+    rows = held.mapInArrow(run, "cid bigint, n bigint, label bigint, h array<bigint>")
+    # A class may be found in repeated rows.
+    return rows.dropDuplicates(["cid"]).select("cid", "n", "label", F.explode("h").alias("h"))
+
+
+def _rest(nodes: DataFrame, classes: DataFrame, docs: DataFrame, scheme: PartEnum, text: str) -> DataFrame:
+    """Pairs ``a, b`` of sets that large groups left open and that may be similar.
+
+    A prefix filter on the shingles themselves, over these sets only: by rarity, the first
+    shingles of the smaller set and those of the larger one have one in common. Sets that
+    are connected already are not paired: per shingle, the most frequent label meets only
+    the sets of other labels.
+    """
+    rows = written(_shingle_rows(nodes, docs, text))
+    times = rows.groupBy("h").agg(F.count(F.lit(1)).alias("times"))
+    by_rarity = Window.partitionBy("cid").orderBy("times", "h")
+    n, num, den = F.col("n"), scheme.num, scheme.den
+    ranked = rows.join(times, "h").withColumn("place", F.row_number().over(by_rarity))
+    # Places up to which a shared shingle must come, for any partner and for no smaller one.
+    any_partner = n - F.ceil(n * num / den) + 1
+    not_smaller = n - F.ceil(n * 2 * num / (num + den)) + 1
+    first = written(
+        ranked.where((F.col("times") > 1) & (F.col("place") <= any_partner)).select(
+            "h", "cid", "n", "label", "place", (F.col("place") <= not_smaller).alias("short")
+        )
+    )
+    per_label = first.groupBy("h", "label").agg(F.count(F.lit(1)).alias("c"))
+    main = (
+        per_label.groupBy("h")
+        .agg(F.max(F.struct("c", "label")).alias("most"), F.count(F.lit(1)).alias("labels"))
+        .where("labels > 1")
+        .select("h", F.col("most.label").alias("main"))
+    )
+    open_ = first.join(main, "h")
+    few = open_.where("label <> main")
+    other = open_.select("h", *[F.col(c).alias(f"{c}_2") for c in ("cid", "n", "label", "place", "short", "main")])
+    smaller = (F.col("n") < F.col("n_2")) | ((F.col("n") == F.col("n_2")) & (F.col("cid") < F.col("cid_2")))
+    need = F.ceil((F.col("n") + F.col("n_2")) * num / (num + den))
+    pairs = few.join(other, "h").where(
+        (F.col("label") != F.col("label_2"))
+        # Both are among the few: once is enough.
+        & ((F.col("label_2") == F.col("main_2")) | (F.col("cid") < F.col("cid_2")))
+        & F.when(smaller, F.col("short")).otherwise(F.col("short_2"))
+        & (den * F.least("n", "n_2") >= num * F.greatest("n", "n_2"))
+        & (1 + F.least(F.col("n") - F.col("place"), F.col("n_2") - F.col("place_2")) >= need)
+    )
+    keys = classes.select("cid", "k1")
+    return (
+        pairs.select("cid", "cid_2")
+        .distinct()
+        .join(keys.withColumnRenamed("k1", "a"), "cid")
+        .join(keys.select(F.col("cid").alias("cid_2"), F.col("k1").alias("b")), "cid_2")
+        .select("a", "b")
+    )
+
+
 def near_duplicates(
     docs: DataFrame, num: int = 75, den: int = 100, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -271,8 +354,9 @@ def near_duplicates(
 
     Classes meet under PartEnum signatures, dealt into buckets of a fixed size. Sets under
     a signature of up to ``COLD`` sets are paired. Larger groups first only link each set
-    with the group's first one; what is not connected then is paired where both sets have
-    enough of their signatures in large groups. Texts decide every pair.
+    with the group's first one; sets that could still have a partner there, being in none
+    or another component, are joined by the rarest of their shingles. Texts decide every
+    pair.
     """
     scheme = PartEnum(num, den)
     rows = written(with_set_keys(docs, key, text))
@@ -302,25 +386,16 @@ def near_duplicates(
         F.col("k1").alias("key"), "cid", F.coalesce("label", "cid").alias("label")
     )
     heavy = heavy.join(placed, "key")
-    mixed_groups = (
-        heavy.groupBy("bucket", "group").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-    )
-    left = written(
-        heavy.join(mixed_groups, ["bucket", "group"], "left_semi").select("bucket", "group", "key", "band", "label", "hot", "need")
+    unlike = (
+        heavy.groupBy("bucket", "group")
+        .agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+        .where("lo < hi")
     )
+    left = heavy.join(unlike, ["bucket", "group"], "left_semi").select("cid", "label").distinct()
+    left = written(classes.join(left, "cid").select("cid", "n", "label", "doc", "hash"))
     if not left.isEmpty():
-        other = left.select("bucket", "group", F.col("key").alias("b"), F.col("label").alias("_l"), F.col("hot").alias("_b"), F.col("need").alias("_n"))
-        pairs = (
-            left.withColumnRenamed("key", "a")
-            .join(other, ["bucket", "group"])
-            .where("a < b AND label <> _l")
-            .groupBy("a", "b", "band")
-            .agg(F.count(F.lit(1)).alias("together"), F.max(F.greatest("need", "_n")).alias("need"))
-        )
-        cold = met.where("`group` IS NULL AND shared > 0").groupBy("a", "b", "band").agg(F.sum("shared").alias("shared"))
-        pairs = pairs.join(cold, ["a", "b", "band"], "left").where("together + coalesce(shared, 0) >= need")
-        more = _verified(pairs.select("a", "b").distinct(), classes, named, scheme, text)
-        links = links.unionByName(written(more))
+        rest = _rest(left, classes, named, scheme, text)
+        links = links.unionByName(written(_verified(rest, classes, named, scheme, text)))
         labels = written(components(links))
         placed = classes.join(labels, F.col("cid") == F.col("node"), "left").select(
             F.col("k1").alias("key"), "cid", F.coalesce("label", "cid").alias("label")
