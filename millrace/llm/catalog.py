@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from millrace.llm import bit_sliced, decontamination, jaccard_join, packing, token_counts, token_files, warc  # noqa: F401
+from millrace.llm import (  # noqa: F401
+    bit_sliced,
+    decontamination,
+    jaccard_join,
+    packing,
+    quality,
+    token_counts,
+    token_files,
+    toxicity,
+    url_filter,
+    warc,
+)
 from millrace.llm.base import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
