@@ -5,12 +5,66 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.llm import decontamination, jaccard_join, packing, quality, toxicity
+from millrace.llm.base import tokenizer_file
 from millrace.session import load, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a chain fitted on the labelled ones does not find toxic."""
+    chain = toxicity.train(docs, load(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.score(docs, chain).where("NOT is_toxic").select(*docs.columns)
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of good quality under weak labels of the documents themselves."""
+    return quality.score(docs, quality.train(docs)).where("is_good").select(*docs.columns)
+
+
+def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates.
+
+    Documents without words are no duplicates and all stay. Rows of a group that share its
+    smallest id are one document if their texts are equal too, else the one with the
+    smallest text hash stays.
+    """
+    found = jaccard_join.near_duplicates(docs)
+    wordless = found.where("n_shingles = 0").select("doc_id", "text_hash").distinct()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
+    heads = found.where("n_shingles > 0").groupBy("component_id").agg(first.alias("head"))
+    stay = heads.select("head.doc_id", "head.text_hash").unionByName(wordless)
+    stay = written(stay.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")))
+    hashed = docs.withColumn("_own", F.xxhash64("text"))
+    kept = hashed.join(stay, (F.col("_own") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    # Repeated rows of one document are a single one here; they need not be compared in full.
+    return kept.dropDuplicates(["doc_id", "_own"]).select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth lies in benchmark passages."""
+    items = load(spark, sf_dir, "benchmark", "item_id", "text")
+    bad = decontamination.contamination(docs, items).where("contaminated")
+    bad = bad.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    same = (F.xxhash64("text") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    return docs.join(bad, same, "left_anti")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left, in sequences of at most 4096 tokens."""
+    return packing.pack_documents(docs, tokenizer_file("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("quality", keep_good),
+    ("near_duplicates", keep_one_of_group),
+    ("decontamination", drop_contaminated),
+    ("packing", pack),
+]
 
 #: Tokenizers and fitted models are no SQL; the tests compare with a brute-force version.
 ORACLE_SQL = None
