@@ -29,7 +29,9 @@ class Rows(NamedTuple):
         return np.repeat(np.arange(len(self)), np.diff(self.bounds))
 
     def times(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.owners(), weights[self.columns] * self.values, minlength=len(self))
+        products = weights[self.columns] * self.values
+        # Without any value the counts would be integers.
+        return np.bincount(self.owners(), products, minlength=len(self)).astype(np.float64)
 
     def pick(self, chosen: np.ndarray) -> Rows:
         """The rows that the boolean array names."""
@@ -61,8 +63,7 @@ def fit(
     owners = rows.owners()
 
     def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
-        z = np.bincount(owners, w[rows.columns] * rows.values, minlength=len(rows))
-        z += extra @ w[width : width + m] + w[-1]
+        z = rows.times(w) + extra @ w[width : width + m] + w[-1]
         error = sigmoid(z) - target
         slope = np.empty(size)
         slope[:width] = np.bincount(rows.columns, error[owners] * rows.values, minlength=width)
