@@ -20,6 +20,8 @@ SAMPLE_ROWS = 20_000
 #: Words are hashed to so many columns, of which each category keeps the most telling ones.
 COLUMNS = 1 << 20
 KEPT_COLUMNS = 512
+#: The least chi square of a kept column; chance gives so much to one in ten thousand.
+LEAST_SCORE = 15.0
 FOLDS = 3
 #: Languages that get a category of their own, the most frequent among toxic rows first.
 LANGUAGES = 8
@@ -64,7 +66,8 @@ def _telling(sample: DataFrame, categories: list[str]) -> np.ndarray:
         share = positive / rows
         expected = F.col("n") * share
         score = (F.col(category) - expected) ** 2 / (expected * (1 - share))
-        best = counts.select("column", score.alias("score")).orderBy(F.desc("score"), "column")
+        scored = counts.select("column", score.alias("score")).where(F.col("score") >= LEAST_SCORE)
+        best = scored.orderBy(F.desc("score"), "column")
         found.update(row["column"] for row in best.limit(KEPT_COLUMNS).collect())
     return np.array(sorted(found), dtype=np.int64)
 
