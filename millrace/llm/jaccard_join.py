@@ -106,7 +106,7 @@ def _dealt(docs: DataFrame, text: str, scheme: PartEnum, buckets: int) -> DataFr
     return docs.select(text).mapInArrow(run, "bucket bigint, entries binary, signs binary")
 
 
-_MET = "a bigint, b bigint, band int, shared int, need int, `group` bigint, size int"
+_MET = "a bigint, b bigint, band int, shared int, need int, `group` bigint, size int, star int"
 
 
 def _meet(table: pa.Table) -> pa.Table:
@@ -114,7 +114,8 @@ def _meet(table: pa.Table) -> pa.Table:
 
     A pair (``a < b``) comes with the number of signatures of small groups that it shares
     here, and the larger ``need``. Of a large group come its members, with ``group``, its
-    ``size`` and their ``need``, and a pair of its first member with each other one.
+    ``size`` and their ``need``, and a pair of its first member with each other one, counted
+    in ``star``.
     """
     entries, signs, at = [], [], 0
     for e, s in zip(table.column("entries").to_pylist(), table.column("signs").to_pylist(), strict=True):
@@ -164,7 +165,9 @@ def _meet(table: pa.Table) -> pa.Table:
     pairs = np.concatenate(pairs)
     code = pairs[:, 0] * len(known) + pairs[:, 1]
     code, place = np.unique(code, return_inverse=True)
-    shared = np.bincount(place, weights=np.concatenate(counts), minlength=len(code))
+    counts = np.concatenate(counts)
+    shared = np.bincount(place, weights=counts, minlength=len(code))
+    star = np.bincount(place, weights=counts == 0, minlength=len(code))
     a, b = code // len(known), code % len(known)
     m = np.concatenate(members) if members else np.zeros(0, np.int64)
     g = np.concatenate(groups) if groups else np.zeros(0, np.int64)
@@ -182,12 +185,16 @@ def _meet(table: pa.Table) -> pa.Table:
                 np.concatenate((np.zeros_like(a), g)), mask=np.arange(len(a) + len(m)) < len(a)
             ),
             "size": pa.array(np.concatenate((np.zeros(len(a), np.int32), sizes))),
+            "star": pa.array(np.concatenate((star.astype(np.int32), np.zeros(len(m), np.int32)))),
         }
     )
 
 
-def _candidates(met: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs that share enough signatures, and the members of large groups that need more.
+def _candidates(met: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pairs of sets with first members, pairs that share enough, and members that need more.
+
+    The first kind only connects large groups early: a set gets one pair, with the set that
+    comes first in most of its groups.
 
     Two similar sets share at least ``need`` signatures. Those in small groups are counted;
     in large groups they share no more than either has there. If all signatures are ordered
@@ -202,12 +209,15 @@ def _candidates(met: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = (
         met.where("`group` IS NULL")
         .groupBy("a", "b", "band")
-        .agg(F.sum("shared").alias("shared"), F.max("need").alias("need"))
+        .agg(F.sum("shared").alias("shared"), F.max("need").alias("need"), F.sum("star").alias("star"))
     )
-    kept = _enough(pairs, there).select("a", "b").distinct()
+    enough = _enough(pairs, there)
+    most = Window.partitionBy("b").orderBy(F.desc("star"), "a", "band")
+    stars = enough.where("star > 0").withColumn("nth", F.row_number().over(most)).where("nth = 1")
+    kept = enough.where("shared > 0").select("a", "b").distinct()
     last = Window.partitionBy("key", "band").orderBy(F.desc("size"), "bucket", "group")
     heavy = hot.withColumn("place", F.row_number().over(last)).where("place >= need")
-    return kept, heavy.select("key", "bucket", "group")
+    return stars.select("a", "b"), kept, heavy.select("key", "bucket", "group")
 
 
 def _enough(pairs: DataFrame, there: DataFrame) -> DataFrame:
@@ -221,19 +231,20 @@ def _enough(pairs: DataFrame, there: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, scheme: PartEnum, text: str) -> DataFrame:
     """Links ``u, v`` between classes whose sets are similar, from pairs of first set hashes.
 
-    Only texts travel, one per pair; a hot side is split by the skew join.
+    Classes of the same ``label`` are connected already and are not compared. Only texts
+    travel, one per pair; a hot side is split by the skew join.
     """
 
     def side(name: str, number: str) -> DataFrame:
         return classes.select(
             F.col("k1").alias(name), F.col("cid").alias(number), F.col("n").alias(f"n_{number}"),
-            F.col("doc").alias(f"doc_{number}"), F.col("hash").alias(f"hash_{number}"),
+            F.col("label").alias(f"label_{number}"), F.col("doc").alias(f"doc_{number}"), F.col("hash").alias(f"hash_{number}"),
         )
 
     sized = pairs.join(side("a", "u"), "a").join(side("b", "v"), "b")
     sized = sized.where(
         (scheme.den * F.least("n_u", "n_v") >= scheme.num * F.greatest("n_u", "n_v"))
-        & (F.col("u") != F.col("v"))
+        & (F.col("label_u") != F.col("label_v"))
     ).select("u", "v", "doc_u", "hash_u", "doc_v", "hash_v")
     texts = docs.select(F.col("doc"), F.col("hash"), F.col(text).alias("text"))
     for number in ("u", "v"):
@@ -266,6 +277,14 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, scheme: Par
     return sized.select("u", "v", "text_u", "text_v").mapInArrow(run, "u bigint, v bigint").distinct()
 
 
+def _labelled(classes: DataFrame, links: DataFrame | None) -> DataFrame:
+    """The classes with the ``label`` of their component under the links so far."""
+    if links is None:
+        return classes.withColumn("label", F.col("cid"))
+    found = classes.join(components(links), F.col("cid") == F.col("node"), "left")
+    return written(found.select(*classes.columns, F.coalesce("label", "cid").alias("label")))
+
+
 def _shingle_rows(nodes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     """``cid, n, label, h``: a row for each shingle of the given classes."""
     texts = docs.select(F.col("doc").alias("_doc"), F.col("hash").alias("_hash"), F.col(text).alias("text"))
@@ -353,8 +372,8 @@ def near_duplicates(
     columns are not read.
 
     Classes meet under PartEnum signatures, dealt into buckets of a fixed size. Sets under
-    a signature of up to ``COLD`` sets are paired. Larger groups first only link each set
-    with the group's first one; sets that could still have a partner there, being in none
+    a signature of up to ``COLD`` sets are paired. Larger groups first only link a set with
+    the first one of most of its groups; sets that could still have a partner there, being in none
     or another component, are joined by the rarest of their shingles. Texts decide every
     pair.
     """
@@ -378,31 +397,29 @@ def near_duplicates(
     met = written(
         _dealt(docs, text, scheme, buckets).groupBy("bucket").applyInArrow(meet, f"{_MET}, bucket bigint")
     )
-    kept, heavy = _candidates(met)
-    links = written(_verified(kept, classes, named, scheme, text))
-    labels = written(components(links))
+    stars, kept, heavy = _candidates(met)
+    links = written(_verified(stars, _labelled(classes, None), named, scheme, text))
+    placed = _labelled(classes, links)
+    links = links.unionByName(written(_verified(kept, placed, named, scheme, text)))
+    placed = _labelled(classes, links)
     # Large groups whose members are not connected yet.
-    placed = classes.join(labels, F.col("cid") == F.col("node"), "left").select(
-        F.col("k1").alias("key"), "cid", F.coalesce("label", "cid").alias("label")
-    )
-    heavy = heavy.join(placed, "key")
+    heavy = heavy.join(placed.withColumnRenamed("k1", "key"), "key")
     unlike = (
         heavy.groupBy("bucket", "group")
         .agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
         .where("lo < hi")
     )
-    left = heavy.join(unlike, ["bucket", "group"], "left_semi").select("cid", "label").distinct()
-    left = written(classes.join(left, "cid").select("cid", "n", "label", "doc", "hash"))
+    left = written(
+        heavy.join(unlike, ["bucket", "group"], "left_semi")
+        .select("cid", "n", "label", "doc", "hash")
+        .distinct()
+    )
     if not left.isEmpty():
         rest = _rest(left, classes, named, scheme, text)
-        links = links.unionByName(written(_verified(rest, classes, named, scheme, text)))
-        labels = written(components(links))
-        placed = classes.join(labels, F.col("cid") == F.col("node"), "left").select(
-            F.col("k1").alias("key"), "cid", F.coalesce("label", "cid").alias("label")
-        )
-    owners = classes.join(placed.select("cid", "label"), "cid")
-    heads = owners.groupBy("label").agg(F.min("doc").alias("component_id"))
-    of_class = owners.join(heads, "label").select("k1", "k2", "n", "component_id")
+        links = links.unionByName(written(_verified(rest, placed, named, scheme, text)))
+        placed = _labelled(classes, links)
+    heads = placed.groupBy("label").agg(F.min("doc").alias("component_id"))
+    of_class = placed.join(heads, "label").select("k1", "k2", "n", "component_id")
     linked = rows.join(of_class, ["k1", "k2", "n"], "left")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc"))
     return linked.select(
