@@ -9,7 +9,8 @@ from millrace.catalog.base import query
 from millrace.operators import scores
 from millrace.session import load
 
-TEMPERATURE, P, SEED, EXPERTS, K = 0.1, 0.6, 2026, 4, 2
+# Every element of a vector is a candidate expert; tables hold vectors of one length.
+TEMPERATURE, P, SEED, EXPERTS, K = 0.1, 0.6, 2026, 64, 2
 
 _SCORES = """
 scores AS (
@@ -30,7 +31,7 @@ _ROUTES = f"""{_SCORES},
 router AS (
   SELECT vec_id, label, candidate AS expert,
     exp(logit) / sum(exp(logit)) OVER (PARTITION BY vec_id) AS score
-  FROM scores WHERE candidate < {EXPERTS}),
+  FROM scores),
 best AS (
   SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, expert) AS nth FROM router),
 routes AS (
@@ -50,9 +51,8 @@ def _probs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def router_scores(spark: SparkSession, folder: str) -> DataFrame:
-    """Softmax over the first elements, one per expert."""
-    first = score_table(spark, folder).where(F.col("candidate") < EXPERTS)
-    return scores.softmax(first, ["vec_id"]).select(
+    """Softmax over all elements, one per expert."""
+    return scores.softmax(score_table(spark, folder), ["vec_id"]).select(
         "vec_id", "label", F.col("candidate").alias("expert"), F.col("prob").alias("score")
     )
 
@@ -155,13 +155,15 @@ def expert_counts(spark: SparkSession, folder: str) -> DataFrame:
     f"""WITH {_ROUTES}
         SELECT routes.vec_id, round(sum(weight * logit), 6) AS combined
         FROM routes JOIN scores
-          ON routes.vec_id = scores.vec_id AND scores.candidate = routes.expert + {EXPERTS}
+          ON routes.vec_id = scores.vec_id AND scores.candidate = {EXPERTS} - 1 - routes.expert
         GROUP BY routes.vec_id""",
 )
 def weighted_combine(spark: SparkSession, folder: str) -> DataFrame:
-    at = F.col("candidate") - EXPERTS
-    values = score_table(spark, folder).where(at.between(0, EXPERTS - 1)).select(
-        "vec_id", at.alias("expert"), F.col("logit").alias("value")
+    """The values are the vector's elements from the last one backwards."""
+    values = score_table(spark, folder).select(
+        "vec_id",
+        (EXPERTS - 1 - F.col("candidate")).alias("expert"),
+        F.col("logit").alias("value"),
     )
     combined = scores.combine(routes(spark, folder), values, ["vec_id"])
     return combined.select("vec_id", F.round("combined", 6).alias("combined"))

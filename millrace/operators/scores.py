@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.labels import IGNORE
 from millrace.plans.positions import hash_order
-from millrace.plans.skew import HOT_ROWS, hot_groups, rank_with_sums
+from millrace.plans.skew import rank_with_sums
 
 # Exponents are summed in bins this wide, far inside the range of a double.
 _BIN = 64.0
@@ -61,38 +61,25 @@ def softmax(
 
 
 def rank_candidates(
-    scores: DataFrame,
-    keys: list[str],
-    logit: str = "logit",
-    candidate: str = "candidate",
-    hot_rows: int = HOT_ROWS,
+    scores: DataFrame, keys: list[str], logit: str = "logit", candidate: str = "candidate"
 ) -> DataFrame:
-    """Add ``rank``, one for the best; equal scores rank the lower candidate first."""
-    hot = hot_groups(scores, keys, hot_rows)
-    return rank_with_sums(scores, keys, logit, candidate, hot=hot)
+    """Add ``rank``, one for the best; equal scores rank the lower candidate first.
 
+    Null scores come last, whatever the size of their group.
+    """
+    return rank_with_sums(scores, keys, logit, candidate)
 
-def top_p(
-    probs: DataFrame,
-    keys: list[str],
-    p: float,
-    candidate: str = "candidate",
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+
+def top_p(probs: DataFrame, keys: list[str], p: float, candidate: str = "candidate") -> DataFrame:
     """Keep candidates while the mass before them is at most ``p``; renormalise the rest.
 
     The best one always stays, and ``p`` of one or more keeps everything.
     """
     if p >= 1.0:
         return probs
-    hot = hot_groups(probs, keys, hot_rows)
-    ranked = rank_with_sums(probs, keys, "prob", candidate, {"_mass_before": "prob"}, hot=hot)
+    ranked = rank_with_sums(probs, keys, "prob", candidate, {"_mass_before": "prob"})
     kept = ranked.where((F.col("_mass_before") <= p) | (F.col("rank") == 1))
-    if hot is None:
-        # The groups are together in their tasks already.
-        kept = kept.withColumn("_mass", F.sum("prob").over(Window.partitionBy(*keys)))
-    else:
-        kept = kept.join(kept.groupBy(*keys).agg(F.sum("prob").alias("_mass")), keys)
+    kept = kept.join(kept.groupBy(*keys).agg(F.sum("prob").alias("_mass")), keys)
     return kept.withColumn("prob", F.col("prob") / F.col("_mass")).drop(
         "_mass", "_mass_before", "rank"
     )
@@ -163,9 +150,15 @@ def load_balance(
 
 
 def expert_counts(routes: DataFrame, experts: int) -> DataFrame:
-    """(expert, n_rows, end_offset) for every expert; only the ``experts`` rows are ordered."""
+    """(expert, n_rows, end_offset) for every expert; only the ``experts`` rows are ordered.
+
+    An expert outside the range fails.
+    """
     spark = routes.sparkSession
-    counts = routes.groupBy("expert").agg(F.count(F.lit(1)).alias("n_rows"))
+    inside = F.col("expert").between(0, experts - 1)
+    wrong = F.concat(F.lit("no such expert: "), F.col("expert").cast("string"))
+    checked = F.when(inside, F.col("expert")).otherwise(F.raise_error(wrong).cast("int"))
+    counts = routes.select(checked.alias("expert")).groupBy("expert").agg(F.count(F.lit(1)).alias("n_rows"))
     every = spark.range(experts).select(F.col("id").cast("int").alias("expert"))
     filled = every.join(counts, "expert", "left").select(
         "expert", F.coalesce("n_rows", F.lit(0)).alias("n_rows")
@@ -174,12 +167,20 @@ def expert_counts(routes: DataFrame, experts: int) -> DataFrame:
     return filled.withColumn("end_offset", F.sum("n_rows").over(up_to))
 
 
+def _found(value: Column, what: str, *key: Column) -> Column:
+    """``value``, or a failure that names the row for which there is none."""
+    named = F.concat_ws(", ", *[part.cast("string") for part in key])
+    message = F.concat(F.lit(f"no {what} for "), named)
+    return F.when(value.isNull(), F.raise_error(message).cast("double")).otherwise(value)
+
+
 def combine(
     routes: DataFrame, values: DataFrame, keys: list[str], value: str = "value"
 ) -> DataFrame:
-    """Per row the weighted sum over its experts' values."""
-    joined = routes.join(values, [*keys, "expert"])
-    return joined.groupBy(*keys).agg(F.sum(F.col("weight") * F.col(value)).alias("combined"))
+    """Per row the weighted sum over its experts' values; a missing value fails."""
+    joined = routes.join(values, [*keys, "expert"], "left")
+    own = _found(F.col(value).cast("double"), "value", *[F.col(k) for k in [*keys, "expert"]])
+    return joined.groupBy(*keys).agg(F.sum(F.col("weight") * own).alias("combined"))
 
 
 def cross_entropy(
@@ -192,16 +193,17 @@ def cross_entropy(
 ) -> DataFrame:
     """(n_rows, loss): mean of -log softmax(target), rows labelled ``ignore`` left out.
 
-    With every row ignored the loss is NaN.
+    A target that is no candidate fails. With every row ignored the loss is NaN.
     """
-    counted = labels.where(F.col("label") != ignore).select(
-        *keys, F.col("label").alias(candidate)
-    )
-    target = scores.join(counted, [*keys, candidate]).select(
-        *keys, F.col(logit).cast("double").alias("_target")
-    )
-    losses = target.join(log_sum_exp(scores, keys, F.col(logit)), keys).select(
-        (F.col("lse") - F.col("_target")).alias("_loss")
+    counted = labels.where(F.col("label") != ignore).select(*keys, F.col("label").alias(candidate))
+    # Ignored groups leave before anything is summed.
+    wanted = scores.join(counted.select(*keys), keys, "left_semi")
+    target = scores.select(*keys, candidate, F.col(logit).cast("double").alias("_target"))
+    named = [F.col(k) for k in [*keys, candidate]]
+    losses = (
+        counted.join(target, [*keys, candidate], "left")
+        .join(log_sum_exp(wanted, keys, F.col(logit)), keys, "left")
+        .select((F.col("lse") - _found(F.col("_target"), "score", *named)).alias("_loss"))
     )
     return losses.agg(
         F.count("_loss").alias("n_rows"),

@@ -11,7 +11,8 @@ from millrace.session import written
 _COUNTER_MASK = (1 << 33) - 1
 # Split tables up to this many rows (about 100 MB) are broadcast, larger ones shuffled.
 BROADCAST_SPLITS = 1_000_000
-_FEW_ROWS = 1_000_000_000
+# Rows of a permutation's bucket, at most about.
+_BUCKET_ROWS = 100_000
 
 
 def _pin_splits(spark: SparkSession) -> None:
@@ -111,7 +112,9 @@ def permute(
     into evenly filled buckets, so no range sampling and no epoch-wide sort is needed; the
     offset table has epochs x 16^digits rows.
     """
-    digits = 3 if n <= _FEW_ROWS else 4
+    digits = 1
+    while n > _BUCKET_ROWS * 16**digits:
+        digits += 1
     keyed = (
         rows.select("row_idx", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"))
         .withColumn("_hash", hash_order(F.lit(seed), F.col("epoch"), F.col("row_idx")))
@@ -124,6 +127,6 @@ def permute(
     inside = Window.partitionBy("epoch", "_bucket").orderBy("_hash", "row_idx")
     return (
         keyed.withColumn("_local", F.row_number().over(inside) - 1)
-        .join(F.broadcast(offsets), ["epoch", "_bucket"])
+        .join(offsets, ["epoch", "_bucket"])
         .select("epoch", (F.col("_base") + F.col("_local")).alias(name), "row_idx")
     )

@@ -9,28 +9,11 @@ from pyspark.sql import functions as F
 
 from millrace.session import written
 
-HOT_ROWS = 1_000_000
-# At most 1 / HOT_SHARE groups can be this large, which bounds every table of hot groups.
-HOT_SHARE = 1e-4
-CUTS = 64
 
-
-def hot_groups(
-    df: DataFrame, keys: list[str], rows: int = HOT_ROWS, share: float = HOT_SHARE
-) -> DataFrame | None:
-    """Keys of the groups that are too large for one task, or None if there are none.
-
-    Group sizes are counted right away, combined before the exchange.
-    """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    total = sizes.agg(F.sum("_size").alias("t")).scalar()
-    large = F.col("_size") > F.greatest(F.lit(float(rows)), total * share)
-    found = written(sizes.where(large).select(*keys))
-    return None if found.isEmpty() else found
-
-
-def _cut_points(column: str) -> Column:
-    return F.percentile_approx(column, [i / CUTS for i in range(1, CUTS)], 1000)
+def _before(column: str, within: list[str], order: list[Column | str]) -> Column:
+    """Sum of a column over the earlier rows of the window."""
+    rows = Window.partitionBy(*within).orderBy(*order)
+    return F.coalesce(F.sum(column).over(rows.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
 def rank_with_sums(
@@ -40,86 +23,40 @@ def rank_with_sums(
     tie: str,
     sums: Mapping[str, str] | None = None,
     rank: str = "rank",
-    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Rank rows of each group by ``value`` descending, then ``tie`` ascending.
+    """Rank rows of each group by ``value`` descending, nulls last, then ``tie`` ascending.
 
     ``sums`` maps a new column to the column whose sum over the better rows it gets.
-    Groups of ordinary size are ranked by one window; the groups in ``hot`` (from
-    :func:`hot_groups`) are cut into slices.
-    """
-    sums = dict(sums or {})
-    if hot is None:
-        return _ranked(df, keys, value, tie, sums, rank)
-    return _ranked_in_slices(df, hot, keys, value, tie, sums, rank)
-
-
-def _ranked(
-    df: DataFrame, within: list[str], value: str, tie: str, sums: Mapping[str, str], rank: str
-) -> DataFrame:
-    ordered = Window.partitionBy(*within).orderBy(F.desc(value), F.asc(tie))
-    better = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    before = {
-        new: F.coalesce(F.sum(source).over(better), F.lit(0.0)) for new, source in sums.items()
-    }
-    return df.withColumns({rank: F.row_number().over(ordered).cast("bigint"), **before})
 
-
-def _ranked_in_slices(
-    df: DataFrame,
-    hot: DataFrame,
-    keys: list[str],
-    value: str,
-    tie: str,
-    sums: Mapping[str, str],
-    rank: str,
-) -> DataFrame:
-    """Cut hot groups at their own quantiles into slices that keep the order.
-
-    Rows equal to a cut value form slices of their own, cut again by ``tie``, so a value
-    that fills most of a group is spread as well. Ranks and sums add up over the slices.
+    Groups of any size take the same way. Rows are range-partitioned by (keys, value, tie),
+    so that a large group lies in many partitions, and written once, as range bounds are
+    sampled anew in every plan. Ranks and sums inside a partition's share of a group are
+    added to those of its earlier shares, of which there is one row each.
     """
-    cuts = (
-        df.join(F.broadcast(hot), keys, "left_semi")
-        .groupBy(*keys)
-        .agg(_cut_points(value).alias("_cuts"), _cut_points(tie).alias("_tie_cuts"))
-    )
-    is_hot = F.col("_cuts").isNotNull()
-    tied = F.array_contains("_cuts", F.col(value))
-    above = F.size(F.filter("_cuts", lambda cut: cut > F.col(value)))
-    below = F.size(F.filter("_tie_cuts", lambda cut: cut < F.col(tie)))
-    # One struct rather than several columns: a table that is already partitioned by the
-    # keys alone must be partitioned again, or all slices of a group would share a task.
-    place = F.struct(
-        *keys,
-        F.when(is_hot, 2 * above + tied.cast("int")).otherwise(0).alias("_slice"),
-        F.when(is_hot & tied, below).otherwise(0).alias("_sub"),
-    )
-    sliced = df.join(F.broadcast(cuts), keys, "left").select(
-        *df.columns, is_hot.alias("_hot"), place.alias("_place")
+    sums = dict(sums or {})
+    order = [F.desc_nulls_last(value), F.asc(tie)]
+    shared = written(
+        df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id())
     )
-    totals = (
-        sliced.where("_hot")
-        .groupBy("_place")
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            *[F.sum(source).alias(f"_sum_{new}") for new, source in sums.items()],
-        )
+    place = F.row_number().over(Window.partitionBy("_part", *keys).orderBy(*order))
+    inside = shared.withColumns(
+        {rank: place.cast("bigint")}
+        | {new: _before(source, ["_part", *keys], order) for new, source in sums.items()}
     )
-    # At most a few thousand slices per hot group.
-    earlier = (
-        Window.partitionBy(*[f"_place.{key}" for key in keys])
-        .orderBy("_place._slice", "_place._sub")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    shares = shared.groupBy("_part", *keys).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(s).alias(f"_sum_{new}") for new, s in sums.items()]
     )
-    offsets = totals.select(
-        "_place",
-        F.sum("_n").over(earlier).alias("_rank_before"),
-        *[F.sum(f"_sum_{new}").over(earlier).alias(f"_before_{new}") for new in sums],
+    earlier = shares.select(
+        F.col("_part").alias("_own"),
+        *[F.col(key).alias(f"_key_{k}") for k, key in enumerate(keys)],
+        _before("_n", keys, ["_part"]).alias("_rank_before"),
+        *[_before(f"_sum_{new}", keys, ["_part"]).alias(f"_before_{new}") for new in sums],
     )
-    inside = _ranked(sliced, ["_place"], value, tie, sums, rank)
-    return inside.join(offsets, "_place", "left").select(
+    same = F.col("_part") == F.col("_own")
+    for k, key in enumerate(keys):
+        same &= F.col(key).eqNullSafe(F.col(f"_key_{k}"))
+    return inside.join(earlier, same).select(
         *df.columns,
-        (F.col(rank) + F.coalesce("_rank_before", F.lit(0))).alias(rank),
-        *[(F.col(new) + F.coalesce(f"_before_{new}", F.lit(0.0))).alias(new) for new in sums],
+        (F.col(rank) + F.col("_rank_before")).alias(rank),
+        *[(F.col(new) + F.col(f"_before_{new}")).alias(new) for new in sums],
     )

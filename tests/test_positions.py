@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.plans import blocks, positions, slicing
-from millrace.plans.skew import hot_groups, rank_with_sums
+from millrace.plans.skew import rank_with_sums
 from millrace.sources import jsonl
 
 
@@ -113,24 +113,34 @@ def test_blocks_hold_every_neighbour(spark):
     assert max(len(s) for s in seen.values()) <= 12
 
 
-@pytest.mark.parametrize("hot_rows", [10, 10**6])
-def test_hot_groups_rank_like_others(spark, hot_rows):
+@pytest.mark.parametrize("partitions", ["1", "8", "61"])
+def test_groups_of_any_size_rank_alike(spark, partitions):
     rng = random.Random(5)
-    # One group holds most rows, half of them with the same value.
-    rows = [(1, i, 0.5 if i % 2 else rng.randrange(60) / 60, float(i % 3)) for i in range(3000)]
-    rows += [(2, i, rng.random(), 1.0) for i in range(5)]
-    df = spark.createDataFrame(rows, "g int, c int, v double, w double")
-    hot = hot_groups(df, ["g"], hot_rows)
-    assert (hot is None) == (hot_rows > 3000)
-    got = {
-        (r.g, r.c): (r.rank, r.before)
-        for r in rank_with_sums(df, ["g"], "v", "c", {"before": "w"}, hot=hot).collect()
-    }
+    # One group holds most rows, half of them with the same value; some have none.
+    rows = [
+        (1, f"{i:04}", None if i % 50 == 7 else 0.5 if i % 2 else rng.randrange(60) / 60, float(i % 3))
+        for i in range(3000)
+    ]
+    rows += [(2, f"{i:04}", (None, rng.random())[i % 2], 1.0) for i in range(5)]
+    rows += [(None, f"{i:04}", float("nan") if i else 1.0, 1.0) for i in range(3)]
+    df = spark.createDataFrame(rows, "g int, c string, v double, w double")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        ranked = rank_with_sums(df, ["g"], "v", "c", {"before": "w"}).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    got = {(r.g, r.c): (r.rank, r.before) for r in ranked}
     expected = {}
-    for g in (1, 2):
+
+    def place(row):
+        value = row[2]
+        # NaN is the largest, null comes last.
+        return (value is None, 0 if value is None else -1e9 if value != value else -value, row[1])
+
+    for g in (1, 2, None):
         total = 0.0
-        ordered = sorted((r for r in rows if r[0] == g), key=lambda r: (-r[2], r[1]))
-        for nth, r in enumerate(ordered, 1):
+        for nth, r in enumerate(sorted((r for r in rows if r[0] == g), key=place), 1):
             expected[(g, r[1])] = (nth, total)
             total += r[3]
     assert got == expected
