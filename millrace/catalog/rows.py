@@ -184,7 +184,8 @@ def split_percent(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("head_n", f"WITH {_ROWS} SELECT row_idx, doc_id FROM rows WHERE row_idx < 50")
 def head_n(spark: SparkSession, folder: str) -> DataFrame:
-    return slicing.take_head(indexed_documents(spark, folder), 50)
+    first = slicing.take_head(load(spark, folder, "documents", "doc_id"), 50, "doc_id")
+    return first.select("row_idx", "doc_id")
 
 
 # --- manifests ---------------------------------------------------------------------------

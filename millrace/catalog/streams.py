@@ -30,7 +30,8 @@ def _token_table(spark: SparkSession, folder: str, end_token: str | None) -> Dat
     is_last = F.struct("turn", "_place") == F.col("_last")
     return rows.join(last, "session_id").select(
         "session_id",
-        (F.col("turn") * 100_000 + F.col("_place")).cast("int").alias("seq"),
+        # A turn takes 2^32 places, more than an array can have.
+        (F.shiftleft(F.col("turn").cast("bigint"), 32) + F.col("_place")).alias("seq"),
         "token",
         is_last.alias("is_last"),
     )

@@ -12,8 +12,10 @@ def ensure_users(table: DataFrame, logins: DataFrame) -> DataFrame:
     """The table with an empty row for each new login; new ids go up in order of first login.
 
     ``logins`` has (username, seq). Repeated logins shrink to one row before the exchange.
+    A login without a name fails.
     """
-    first = logins.groupBy("username").agg(F.min("seq").alias("_first"))
+    name = F.coalesce("username", F.raise_error(F.lit("a login without a username")).cast("string"))
+    first = logins.withColumn("username", name).groupBy("username").agg(F.min("seq").alias("_first"))
     return table.unionByName(assign_ids(table, first.join(table, "username", "left_anti")))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -40,8 +40,11 @@ def take_split(indexed: DataFrame, split: str, n: int | None = None) -> DataFram
     return indexed.where((F.col("row_idx") >= start) & (F.col("row_idx") < stop))
 
 
-def take_head(indexed: DataFrame, n: int) -> DataFrame:
-    return indexed.where(F.col("row_idx") < n)
+def take_head(df: DataFrame, n: int, *keys: str, name: str = "row_idx") -> DataFrame:
+    """The first ``n`` rows in key order with their positions: a top-n, no sort of the table."""
+    order = Window.orderBy(*keys)
+    first = df.orderBy(*keys).limit(n)
+    return first.withColumn(name, F.row_number().over(order).cast("bigint") - 1)
 
 
 def count_rows(df: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Fixed value: characters held back, since later tokens may still change them.
 HOLD_BACK = 3
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-OUTPUT = "session_id bigint, seq int, chunk string"
+OUTPUT = "session_id bigint, seq bigint, chunk string"
 _STATE = "held string, n_tokens int, done boolean"
 
 
