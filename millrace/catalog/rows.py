@@ -54,10 +54,9 @@ def row_lookup(spark: SparkSession, folder: str) -> DataFrame:
     return slicing.lookup(indexed_documents(spark, folder), wanted, n)
 
 
-# What a row is turned into before it is written, so that every kind of bad line occurs.
-def _mixed_line() -> Column:
+# What is written behind the line of a row, so that every kind of line occurs.
+def _other_line(good: Column) -> Column:
     kind = F.col("doc_id") % 10
-    good = F.to_json(F.struct("text"))
     return (
         F.when(kind == 3, F.lit("  "))
         .when(kind == 4, F.to_json(F.struct(F.col("text").alias("body"))))
@@ -66,21 +65,31 @@ def _mixed_line() -> Column:
         .when(kind == 7, F.lit('{"text": null}'))
         .when(kind == 8, F.to_json(F.struct((F.col("n_chars") > 1000).alias("text"))))
         .when(kind == 9, F.concat(good, F.lit(" "), good))
-        .otherwise(good)
     )
 
 
 def _mixed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """A good line for every document, and another kind of line behind seven of ten."""
     docs = load(spark, folder, "documents", "doc_id", "text", "n_chars")
-    return jsonl.scan_lines(spark, lines_folder(docs, _mixed_line()))
+    good = F.to_json(F.struct("text"))
+    lines = docs.select("doc_id", F.posexplode(F.array(good, _other_line(good))))
+    lines = lines.where(F.col("col").isNotNull())
+    numbered = lines.select((2 * F.col("doc_id") + F.col("pos")).alias("at"), "col")
+    return jsonl.scan_lines(spark, lines_folder(numbered, F.col("col"), "at"))
+
+
+_MIXED = """lines AS (
+  SELECT doc_id, 0 AS place, 0 AS kind, text, n_chars FROM documents
+  UNION ALL SELECT doc_id, 1, doc_id % 10, text, n_chars FROM documents WHERE doc_id % 10 >= 3),
+mixed AS (SELECT *, row_number() OVER (ORDER BY doc_id, place) - 1 AS row_idx FROM lines)"""
 
 
 @query(
     "bad_rows",
-    """SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_idx,
-              CASE doc_id % 10 WHEN 3 THEN 'blank' WHEN 4 THEN 'missing_key'
+    f"""WITH {_MIXED} SELECT row_idx,
+              CASE kind WHEN 3 THEN 'blank' WHEN 4 THEN 'missing_key'
               WHEN 5 THEN 'bad_json' WHEN 9 THEN 'bad_json' ELSE 'ok' END AS status
-       FROM documents""",
+       FROM mixed""",
 )
 def bad_rows(spark: SparkSession, folder: str) -> DataFrame:
     rows = jsonl.checked(_mixed_lines(spark, folder), "text", "quarantine")
@@ -89,12 +98,11 @@ def bad_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "text_coerce",
-    """SELECT row_idx, text FROM (
-         SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_idx, doc_id % 10 AS kind,
-                CASE doc_id % 10 WHEN 6 THEN n_chars::VARCHAR WHEN 7 THEN 'None'
+    f"""WITH {_MIXED} SELECT row_idx,
+                CASE kind WHEN 6 THEN n_chars::VARCHAR WHEN 7 THEN 'None'
                 WHEN 8 THEN CASE WHEN n_chars > 1000 THEN 'True' ELSE 'False' END
                 ELSE text END AS text
-         FROM documents) WHERE kind NOT IN (3, 4, 5, 9)""",
+         FROM mixed WHERE kind NOT IN (3, 4, 5, 9)""",
 )
 def text_coerce(spark: SparkSession, folder: str) -> DataFrame:
     return jsonl.read_pretrain(_mixed_lines(spark, folder), "drop").select("row_idx", "text")

@@ -12,17 +12,18 @@ from millrace.session import load, scratch_folder
 from millrace.streaming import tokens as token_stream
 from millrace.streaming import upkeep
 
-MAX_TOKENS = 64
+MAX_TOKENS = 400
 
 
 def _token_table(spark: SparkSession, folder: str, end_token: str | None) -> DataFrame:
-    """Pre-tokens of each conversation, with an end token behind every turn if asked for.
+    """Pre-tokens of each conversation, with an end token behind every answer if asked for.
 
     ``seq`` orders by turn, then by place in the turn.
     """
     pieces = pretokens(F.col("text"))
     if end_token is not None:
-        pieces = F.concat(pieces, F.array(F.lit(end_token)))
+        ends = F.when(F.col("role") == "assistant", F.array(F.lit(end_token)))
+        pieces = F.concat(pieces, F.coalesce(ends, F.array().cast("array<string>")))
     rows = load(spark, folder, "conversations").select(
         F.col("conv_id").alias("session_id"), "turn", F.posexplode(pieces).alias("_place", "token")
     )
@@ -65,9 +66,13 @@ def stream_holdback(spark: SparkSession, folder: str) -> DataFrame:
     return _through_stream(_token_table(spark, folder, None))
 
 
-_STOPPED = f"""SELECT conv_id AS session_id,
-    array_to_string(regexp_extract_all(text, {RX})[1:{MAX_TOKENS}], '') AS text
-  FROM conversations WHERE turn = 0"""
+#: Up to the end of the first answer, if the tokens last so long.
+_STOPPED = f"""WITH ends AS (
+    SELECT conv_id, min(turn) FILTER (role = 'assistant') AS answer FROM conversations GROUP BY conv_id)
+  SELECT conv_id AS session_id, array_to_string(
+    flatten(list(regexp_extract_all(text, {RX}) ORDER BY turn))[1:{MAX_TOKENS}], '') AS text
+  FROM conversations JOIN ends USING (conv_id) WHERE answer IS NULL OR turn <= answer
+  GROUP BY conv_id"""
 
 
 @query("stream_stop", _STOPPED)

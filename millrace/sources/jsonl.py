@@ -148,20 +148,40 @@ def read_nested(lines: DataFrame, mode: str = "failfast") -> DataFrame:
     """(row_idx, messages): each conversation with its message array.
 
     Tool signatures and object arguments become JSON text in ``json.dumps`` spacing;
-    content that is not a string becomes null.
+    content that is not a string becomes null. Conversations that are no list are bad rows
+    of status ``bad_type``; ``quarantine`` adds ``status`` and keeps bad rows, without
+    messages.
     """
     raw = F.from_json("value", f"struct<conversations:{MESSAGES}>")["conversations"]
-    return checked(lines, "conversations", mode).select(
-        "row_idx", F.transform(raw, _message).alias("messages")
+    # Status first, on all rows: the type is only known from the second parse.
+    rows = checked(lines, "conversations", "quarantine").withColumn("_raw", raw)
+    wrong = (F.col("status") == "ok") & F.col("_raw").isNull()
+    rows = rows.withColumn("status", F.when(wrong, "bad_type").otherwise(F.col("status")))
+    good = F.when(F.col("status") == "ok", F.transform("_raw", _message))
+    if mode == "quarantine":
+        return rows.select("row_idx", "status", good.alias("messages"))
+    if mode == "drop":
+        return rows.where("status = 'ok'").select("row_idx", good.alias("messages"))
+    if mode != "failfast":
+        raise ValueError(f"unknown mode {mode!r}")
+    message = F.concat(F.col("status"), F.lit(" at row "), F.col("row_idx").cast("string"))
+    failing = F.when(F.col("status") == "ok", F.col("_raw")).otherwise(
+        F.raise_error(message).cast(MESSAGES)
     )
+    return rows.select("row_idx", F.transform(failing, _message).alias("messages"))
 
 
 def read_conversations(lines: DataFrame, mode: str = "failfast") -> DataFrame:
     """One row per message: (row_idx, turn, role, content, reasoning_content, functions,
-    tool_calls), with ``turn`` the position in the list."""
+    tool_calls), with ``turn`` the position in the list.
+
+    ``quarantine`` adds ``status``; a row without messages then has one row with nulls.
+    """
     nested = read_nested(lines, mode)
-    flat = nested.select("row_idx", F.posexplode("messages").alias("_at", "m"))
-    return flat.select("row_idx", F.col("_at").cast("bigint").alias("turn"), "m.*")
+    kept = ["status"] if mode == "quarantine" else []
+    each = F.posexplode_outer("messages") if kept else F.posexplode("messages")
+    flat = nested.select("row_idx", *kept, each.alias("_at", "m"))
+    return flat.select("row_idx", *kept, F.col("_at").cast("bigint").alias("turn"), "m.*")
 
 
 def fold_turns(turns: DataFrame, key: str = "row_idx") -> DataFrame:

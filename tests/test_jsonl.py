@@ -125,3 +125,18 @@ def test_added_tokens(spark):
     df = spark.createDataFrame([(json.dumps(added),)], "added string")
     rows = tokens.added_tokens(df, "added").orderBy("token_id").collect()
     assert [tuple(r) for r in rows] == [(0, "<|endoftext|>", True), (7, "<think>", False)]
+
+
+def test_every_kind_of_bad_conversation_line_keeps_its_reason(spark):
+    good = '{"conversations":[{"role":"user","content":"a"},{"role":"assistant","content":"b"}]}'
+    values = [good, "", "{bad", '{"nope":1}', '{"conversations":"x"}', '{"conversations":[]}', good]
+    lines = spark.createDataFrame(list(enumerate(values)), "row_idx bigint, value string")
+    rows = jsonl.read_conversations(lines, "quarantine").orderBy("row_idx", "turn").collect()
+    assert [(r.row_idx, r.status, r.turn, r.content) for r in rows] == [
+        (0, "ok", 0, "a"), (0, "ok", 1, "b"), (1, "blank", None, None), (2, "bad_json", None, None),
+        (3, "missing_key", None, None), (4, "bad_type", None, None), (5, "ok", None, None),
+        (6, "ok", 0, "a"), (6, "ok", 1, "b"),
+    ]
+    assert jsonl.read_conversations(lines, "drop").count() == 4
+    with pytest.raises(Exception, match="bad_type at row 4"):
+        jsonl.read_nested(lines.where("row_idx IN (0, 4)")).collect()

@@ -115,3 +115,16 @@ def test_finite_guard(spark):
     assert scores.assert_finite(df.where("loss = 1 or loss is null"), "loss").count() == 2
     with pytest.raises(Exception, match="loss is not finite"):
         scores.assert_finite(df, "loss").collect()
+
+
+def test_missing_targets_values_and_experts_fail(spark):
+    table = spark.createDataFrame([(1, 0, 0.5), (1, 1, 0.5), (2, 0, 1.0), (2, 1, 0.0)], "g int, candidate int, logit double")
+    labels = spark.createDataFrame([(1, 7), (2, 0)], "g int, label int")
+    with pytest.raises(Exception, match="no score for 1, 7"):
+        scores.cross_entropy(table, labels, ["g"]).collect()
+    routes = spark.createDataFrame([(1, 0, 0.5), (1, 9, 0.5)], "g int, expert int, weight double")
+    values = spark.createDataFrame([(1, 0, 2.0)], "g int, expert int, value double")
+    with pytest.raises(Exception, match="no value for 1, 9"):
+        scores.combine(routes, values, ["g"]).collect()
+    with pytest.raises(Exception, match="no such expert: 9"):
+        scores.expert_counts(routes, 4).collect()
