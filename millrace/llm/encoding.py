@@ -85,14 +85,33 @@ class Units:
     """Values of the units of a text, for a byte-level tokenizer that keeps white space.
 
     A blank between two words belongs to the word after it; any other white space is a
-    unit of its own. ``make`` gives the value of one unit.
+    unit of its own. ``make`` gives the value of one unit. The library looks for special
+    strings before anything else, so each ends a piece, and white space before it is one unit.
     """
 
-    def __init__(self, make: Callable[[str], object]) -> None:
+    def __init__(self, make: Callable[[str], object], special: list[str]) -> None:
         self.bare = Remembered(make)
         self.spaced = Remembered(make, " ")
+        self.special = special
+        longest_first = sorted(map(re.escape, special), key=len, reverse=True)
+        self.cut = re.compile(f"({'|'.join(longest_first)})")
 
     def __call__(self, text: str) -> list:
+        for string in self.special:
+            if string in text:
+                break
+        else:
+            return self._piece(text)
+        found = []
+        # Every second piece is a special string.
+        for place, piece in enumerate(self.cut.split(text)):
+            if place % 2:
+                found.append(self.bare[piece])
+            else:
+                found.extend(self._piece(piece))
+        return found
+
+    def _piece(self, text: str) -> list:
         if not text:
             return []
         lines = [line.split(" ") for line in text.split("\n")]
@@ -165,5 +184,11 @@ def id_bytes(path: str, keeps_space: bool) -> Callable[[str], bytes]:
             return parts[blank + word] + parts[tail]
         return by_model(blank + word)
 
-    units = (Units if keeps_space else Words)(make)
+    if not keeps_space:
+        units = Words(make)
+    else:
+        added = tokenizer.get_added_tokens_decoder().values()
+        if any(t.single_word or t.lstrip or t.rstrip for t in added):
+            raise ValueError("id_bytes takes added tokens only where they stand as written")
+        units = Units(make, [t.content for t in added])
     return lambda text: b"".join(units(text))

@@ -90,7 +90,7 @@ def token_counter(path: str) -> Callable[[str], int]:
             known[letters] for piece in pieces[::2] if piece for letters, _ in pretokens(piece)
         )
 
-    units = Units(count)
+    units = Units(count, [t["content"] for t in parts["added_tokens"]])
     return lambda text: sum(units(text))
 
 

@@ -34,6 +34,16 @@ def test_counts_are_those_of_the_library():
         assert count(text) == len(library.encode(text, add_special_tokens=False).ids), text[:40]
 
 
+@pytest.mark.parametrize("space", ["\n", "\n\n", "\n\n\n\n", "\xa0\xa0", "  ", "\n ", " \n\n", "\t\t"])
+def test_white_space_before_a_special_string_is_one_unit(space):
+    library, own, count = load_tokenizer(BYTES), id_bytes(BYTES, True), token_counts.token_counter(BYTES)
+    end = "<|endoftext|>"
+    for text in (f"a{space}{end}b", f"{space}{end}", f"{end}{space}{end}{space}b", f"a b{end}{space}"):
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(own(text), dtype="<u4").tolist() == ids, text
+        assert count(text) == len(ids), text
+
+
 def test_merging_takes_the_lowest_rank_then_the_leftmost():
     ranks = {("a", "a"): 0, ("aa", "a"): 1, ("b", "c"): 2}
     assert token_counts.merged_length(list("aaabc"), ranks) == 2
