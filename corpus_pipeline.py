@@ -30,12 +30,13 @@ def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Documents without words are no duplicates and all stay. Rows of a group that share its
     smallest id are one document if their texts are equal too, else the one with the
-    smallest text hash stays.
+    smallest text hash stays. Groups are what links connect: null or equal ids alone do not
+    put documents into one group.
     """
     found = jaccard_join.near_duplicates(docs)
     wordless = found.where("n_shingles = 0").select("doc_id", "text_hash").distinct()
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
-    heads = found.where("n_shingles > 0").groupBy("component_id").agg(first.alias("head"))
+    heads = found.where("n_shingles > 0").groupBy("component").agg(first.alias("head"))
     stay = heads.select("head.doc_id", "head.text_hash").unionByName(wordless)
     stay = written(stay.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")))
     hashed = docs.withColumn("_own", F.xxhash64("text"))

@@ -365,11 +365,12 @@ def near_duplicates(
     """Groups of documents linked by a Jaccard similarity of ``num / den`` or more.
 
     Sets are the distinct five-word shingles of whole texts. Returns a row per document
-    row: ``key, text_hash, n_shingles, component_id``, the last being the smallest ``key``
+    row: ``key, text_hash, n_shingles, component_id, component``; the id is the smallest ``key``
     of the documents that links reach. Documents without words link with nothing. Equal
     sets are one class, so copies are never paired. Null keys and repeated rows are
-    documents like others; a null is the component's id only if it has no other. Other
-    columns are not read.
+    documents like others; a null is the component's id only if it has no other. Keys that
+    are null or repeat make ``component_id`` the same for several components; ``component``
+    is a number of each one's own, null without words. Other columns are not read.
 
     Classes meet under PartEnum signatures, dealt into buckets of a fixed size. Sets under
     a signature of up to ``COLD`` sets are paired. Larger groups first only link a set with
@@ -419,16 +420,17 @@ def near_duplicates(
         links = links.unionByName(written(_verified(rest, placed, named, scheme, text)))
         placed = _labelled(classes, links)
     heads = placed.groupBy("label").agg(F.min("doc").alias("component_id"))
-    of_class = placed.join(heads, "label").select("k1", "k2", "n", "component_id")
+    of_class = placed.join(heads, "label").select("k1", "k2", "n", "component_id", "label")
     linked = rows.join(of_class, ["k1", "k2", "n"], "left")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc"))
     return linked.select(
-        F.col("doc").alias(key), F.col("hash").alias("text_hash"), F.col("n").alias("n_shingles"), own.alias("component_id")
-    )
+        F.col("doc").alias(key), F.col("hash").alias("text_hash"), F.col("n").alias("n_shingles"),
+        own.alias("component_id"), F.col("label").alias("component"),
+    )
 
 
 @query("op9_jaccard_join")
 def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate groups of all documents: five words, a similarity of 0.75 or more."""
     docs = load(spark, folder, "documents", "doc_id", "text")
-    return near_duplicates(docs).drop("text_hash")
+    return near_duplicates(docs).drop("text_hash", "component")

@@ -10,7 +10,7 @@ from millrace.llm import catalog
 from millrace.llm.base import tokenizer_file
 from millrace.llm.encoding import load_tokenizer
 from millrace.session import load
-from tests.llm.helpers import hit_words, linked_components
+from tests.llm.helpers import AWKWARD, SCHEMA, hit_words, linked_components, prose
 from tests.oracle import compare, oracle_connection
 
 SF = "/root/testdata/sf0.001"
@@ -41,6 +41,19 @@ def test_one_document_of_each_group_stays(spark):
     assert kept.columns == docs.columns
 
 
+def test_groups_with_null_or_equal_ids_are_kept_apart(spark):
+    near = lambda text, word: text.replace(text.split()[0], word, 1)
+    a, b, c = prose(5, 200), prose(8, 90), prose(11, 120)
+    # Two groups under one id, each with a near copy of a larger id; groups of null ids only.
+    groups = [[(1, a), (20, near(a, "other"))], [(1, b), (21, near(b, "other"))]]
+    groups += [[(None, c), (None, c)], [(None, "no id either")], [(None, "and one more without an id"), (30, "and one more without an id")]]
+    rows = AWKWARD + [row for group in groups for row in group]
+    expected = set(AWKWARD) | {(1, a), (1, b), (None, c), (None, "no id either"), (30, "and one more without an id")}
+    kept = corpus_pipeline.keep_one_of_group(spark, spark.createDataFrame(rows, SCHEMA).repartition(3), SF)
+    got = [tuple(r) for r in kept.collect()]
+    assert len(got) == len(expected) and set(got) == expected
+
+
 def test_contaminated_documents_go(spark):
     docs, items = load(spark, SF, "documents"), load(spark, SF, "benchmark")
     known = [(r.item_id, r.text) for r in items.collect()]
