@@ -32,6 +32,8 @@ from millrace.sources import jsonl
 from millrace.sources.samples import write_samples
 
 LENGTH = samples.MAX_LENGTH
+#: More ids than an array can hold.
+NO_LIMIT = 2**31 - 1
 
 _DOC_IDS = f"WITH {vocab_sql('documents')}, {encode_sql('documents', 'doc_id')}"
 # Rendered with the plain template: a default system block, then one block per turn.
@@ -140,6 +142,29 @@ def stop_at_end(spark: SparkSession, folder: str) -> DataFrame:
     return ids.select("conv_id", joined(labels.until_end(F.col("ids"), end, 64)).alias("ids"))
 
 
+@query(
+    "stop_at_end_answers",
+    f"""WITH {vocab_sql('conversations')}, answers AS (
+          SELECT {{'conv': conv_id, 'turn': turn}} AS answer,
+            coalesce(text, '') || '<|im_end|>' || chr(10) AS text
+          FROM conversations WHERE role = 'assistant'),
+        {encode_sql('answers', 'answer')}, cutting AS (
+          SELECT answer, ids, list_position(ids, 2) - 1 AS kept FROM encoded)
+        SELECT answer.conv AS conv_id, answer.turn AS turn, kept::INT AS n_ids,
+          array_to_string(ids[1:kept], ',') AS ids FROM cutting""",
+)
+def stop_at_end_answers(spark: SparkSession, folder: str) -> DataFrame:
+    """Each answer by itself as it would come from a model, whole, up to its end token."""
+    tokenizer = chat_tokenizer(spark, folder)
+    answers = turns(spark, folder).where("role = 'assistant'")
+    text = F.concat(F.coalesce("content", F.lit("")), F.lit(TURN_END))
+    ids = answers.select("conv_id", "turn", tokenizer.encode(text).alias("ids"))
+    kept = labels.until_end(F.col("ids"), tokenizer.ids_of(END)[0], NO_LIMIT)
+    return ids.select("conv_id", "turn", kept.alias("i")).select(
+        "conv_id", "turn", F.size("i").alias("n_ids"), joined(F.col("i")).alias("ids")
+    )
+
+
 # --- labels ------------------------------------------------------------------------------
 
 
@@ -157,7 +182,7 @@ def pretrain_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 # Marker ids come from the same vocabulary: the start marker is `<|im_start|>`, `assistant`
 # (a word or its bytes) and a newline; the end marker is `<|im_end|>` and a newline.
-_MARKS = f"""{_CHAT_IDS}, {_fit_sql('conv_id')},
+_MARK_IDS = f"""
 one AS (SELECT 0 AS k),
 word AS (
   SELECT coalesce(
@@ -169,7 +194,8 @@ newline AS (
     10 + {len(PLAIN_SPECIALS)}) AS id FROM one),
 marks AS (
   SELECT list_concat(list_concat([1], word.ids), [newline.id]) AS opening, [2, newline.id] AS closing
-  FROM word, newline),
+  FROM word, newline),"""
+_MARKS = f"""{_CHAT_IDS}, {_fit_sql('conv_id')},{_MARK_IDS}
 found AS (
   SELECT conv_id, ids, n_real, len(opening) AS width,
     list_filter(range(1, {LENGTH} + 1), lambda i: ids[i:i + len(opening) - 1] = opening) AS starts,
@@ -202,6 +228,31 @@ def marker_match(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "marker_match_whole",
+    f"""{_CHAT_IDS},{_MARK_IDS}
+        found AS (
+          SELECT conv_id, len(ids)::INT AS n_ids,
+            list_filter(range(1, len(ids) + 1), lambda i: ids[i:i + len(opening) - 1] = opening) AS starts,
+            list_filter(range(1, len(ids) + 1), lambda i: ids[i:i + 1] = closing) AS ends
+          FROM encoded, marks)
+        SELECT conv_id, n_ids, array_to_string(starts, ',') AS starts,
+          array_to_string(ends, ',') AS ends FROM found""",
+)
+def marker_match_whole(spark: SparkSession, folder: str) -> DataFrame:
+    """Markers in all ids of each conversation."""
+    tokenizer = chat_tokenizer(spark, folder)
+    text = render(turns(spark, folder), PLAIN, "conv_id")
+    rows = text.select("conv_id", tokenizer.encode(F.col("text")).alias("ids"))
+    ids = F.col("ids")
+    return rows.select(
+        "conv_id",
+        F.size(ids).alias("n_ids"),
+        joined(labels.match_positions(ids, tokenizer.ids_of(ANSWER_START))).alias("starts"),
+        joined(labels.match_positions(ids, tokenizer.ids_of(TURN_END))).alias("ends"),
+    )
+
+
 @query(
     "sft_labels",
     f"{_LABELS} SELECT conv_id, array_to_string(labels, ',') AS labels FROM labelled",

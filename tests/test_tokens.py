@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from millrace.catalog import text as text_queries
 from millrace.functions import labels
 from millrace.operators import samples
 from millrace.operators.templates import ANSWER_START, PLAIN, TURN_END
@@ -196,3 +197,20 @@ def test_pad_tokens_that_differ_warn(spark, tokenizer):
     with pytest.warns(UserWarning):
         row = samples.pretrain_samples(df, tokenizer, "k", 6, pad="<|im_end|>").first()
     assert row.input_ids[row.n_real :] == row.labels[row.n_real :] == [2] * (6 - row.n_real)
+
+
+def test_queries_on_whole_conversations(spark, tmp_path):
+    words = [f"w{k % 40}" for k in range(900)]
+    answers = {1: " ".join(words), 3: "short <|im_end|> past the end", 5: " ".join(words[:700])}
+    rows = [(1, t, "assistant" if t % 2 else "user", answers.get(t, f"question {t}")) for t in range(6)]
+    spark.createDataFrame(rows + [(2, 0, "user", None)], "conv_id bigint, turn bigint, role string, text string").fillna(
+        "", ["text"]
+    ).write.parquet(f"{tmp_path}/conversations.parquet")
+    found = {r.conv_id: r for r in text_queries.marker_match_whole(spark, str(tmp_path)).collect()}
+    starts, ends = ([int(p) for p in found[1][c].split(",")] for c in ("starts", "ends"))
+    # A default system block and six turns; the last answer starts far behind a sample's end.
+    assert len(starts) == 3 and starts[-1] > 900 > samples.MAX_LENGTH
+    assert len(ends) == 7 and ends[-1] == found[1].n_ids - 1
+    assert found[2].starts == "" and len(found[2].ends.split(",")) == 2
+    kept = {r.turn: r.n_ids for r in text_queries.stop_at_end_answers(spark, str(tmp_path)).collect()}
+    assert kept == {1: 900, 3: 2, 5: 700}
