@@ -376,7 +376,9 @@ def near_duplicates(
     a signature of up to ``COLD`` sets are paired. Larger groups first only link a set with
     the first one of most of its groups; sets that could still have a partner there, being in none
     or another component, are joined by the rarest of their shingles. Texts decide every
-    pair.
+    pair that is compared. The result is components only: pairs inside a component that is
+    known already are not compared, so the links themselves, or a document's number of
+    links, cannot be had from here.
     """
     scheme = PartEnum(num, den)
     rows = written(with_set_keys(docs, key, text))
