@@ -138,8 +138,9 @@ def pack(items: DataFrame, size: int, group_items: int = GROUP_ITEMS) -> DataFra
     items lie without gaps from offset 0. Items of full length are bins at once. The others
     are dealt over groups of ``group_items`` and packed there, longest first, each into the
     fullest bin with room. Nearly full bins leave; underfull ones are the items of the next
-    round, in fewer groups, until one group held them all or a round saves nothing any
-    more. A task never holds more than a group, however many rows share a length or key.
+    round, in fewer groups, until one group held them all or a round saves less than 1 % of
+    its bins; with several groups left, that round's underfull bins are then final, so a
+    few more sequences than by further rounds are possible. No item is lost. A task never holds more than a group, however many rows share a length or key.
     No items give no rows.
     """
     start = items.select(
