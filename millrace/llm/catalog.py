@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from millrace.llm import (  # noqa: F401
     bit_sliced,
+    collocations,
     decontamination,
     jaccard_join,
+    language,
     packing,
+    periodic_runs,
     quality,
     token_counts,
     token_files,
