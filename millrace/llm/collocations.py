@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.base import query
+from millrace.llm.base import query, slices
 from millrace.session import load, written
 
 #: A phrase occurs so often at least; so many of a language are returned.
@@ -23,7 +23,9 @@ BATCH = 1_000_000
 FIRST = 3_000
 FURTHER = 4
 #: Words that a task gathers before it counts or writes them.
-BLOCK = 1 << 21
+BLOCK = 1 << 19
+#: Rows that a task hands over at a time.
+ROWS = 1 << 15
 #: More than any score, which is at most 1,000,000.
 ABOVE = 1_000_001
 
@@ -51,10 +53,12 @@ def _word_counts(docs: DataFrame) -> DataFrame:
                 value = found.field("values").cast(pa.binary())
                 keep = pc.not_equal(value, b".")
                 value, count = value.filter(keep), found.field("counts").filter(keep)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(value), pa.string()), value.cast(pa.string()), count],
-                    names=["lang", "word", "f"],
-                )
+                yield from slices([
+                    pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(value), pa.string()), value.cast(pa.string()), count],
+                        names=["lang", "word", "f"],
+                    )
+                ], ROWS)
 
         for batch in batches:
             for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -241,10 +245,12 @@ def _grams(blocks: DataFrame, size: int, least: int, wanted=None) -> DataFrame:
                 starts = np.flatnonzero(
                     np.concatenate(([len(hi) > 0], (hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1])))
                 )
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hi[starts]), pa.array(lo[starts]), pa.array(np.diff(np.append(starts, len(hi))))],
-                    names=["hi", "lo", "a"],
-                )
+                counts = np.diff(np.append(starts, len(hi)))
+                yield from slices([
+                    pa.RecordBatch.from_arrays(
+                        [pa.array(hi[starts]), pa.array(lo[starts]), pa.array(counts)], names=["hi", "lo", "a"]
+                    )
+                ], ROWS)
 
     rows = blocks.mapInArrow(run, "hi bigint, lo bigint, a bigint")
     return rows.groupBy("hi", "lo").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
@@ -488,15 +494,20 @@ def collocations(
     while not high.isEmpty():
         nth = growth.pairs.join(high, "lang").withColumn("_nth", F.row_number().over(best))
         low = nth.where(F.col("_nth") == reach).select("lang", F.col("score").alias("low"))
-        levels = written(high.join(low, "lang", "left").fillna(0, ["low"]).where("low < high"))
+        reach *= FURTHER
+        levels = written(high.join(low, "lang", "left").fillna(0, ["low"]))
+        # Where many bigrams tie, the bound may not be lower yet.
+        waiting, levels = levels.where("low = high").select("lang", "high"), levels.where("low < high")
+        if levels.isEmpty():
+            continue
         found = growth.expand(levels)
         alive = found.groupBy("lang").agg(F.count(F.lit(1)).alias("_alive"))
         levels = written(levels.join(alive, "lang", "left").fillna(0, ["_alive"]))
         settled = (F.col("low") == 0) | (F.col("_alive") >= kept)
         done.append(found.join(levels.where(settled).select("lang"), "lang", "left_semi"))
-        high = written(levels.where(~settled).select("lang", F.col("low").alias("high")))
-        reach *= FURTHER
+        high = written(levels.where(~settled).select("lang", F.col("low").alias("high")).unionByName(waiting))
     if not done:
+        # No frequent bigram: nothing to return.
         done = [growth.expand(high.withColumn("low", F.lit(0)))]
     found = done[0]
     for more in done[1:]:
