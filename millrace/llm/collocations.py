@@ -23,7 +23,7 @@ BATCH = 1_000_000
 FIRST = 3_000
 FURTHER = 4
 #: Words that a task gathers before it counts or writes them.
-BLOCK = 1 << 19
+BLOCK = 1 << 18
 #: Rows that a task hands over at a time.
 ROWS = 1 << 15
 #: More than any score, which is at most 1,000,000.
@@ -60,8 +60,8 @@ def _word_counts(docs: DataFrame) -> DataFrame:
                     )
                 ], ROWS)
 
-        for batch in batches:
-            for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for part in slices(batches):
+            for lang, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 found = tokens(text)
                 held[lang].extend(found)
                 size += len(found)
@@ -161,8 +161,8 @@ def _encoder(shared, last: bool) -> Callable:
             return pa.RecordBatch.from_arrays([pa.array([codes[keep].tobytes()], pa.binary())], ["codes"])
 
         texts = []
-        for batch in batches:
-            for lang, text, before in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for part in slices(batches):
+            for lang, text, before in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 held.append((lang, tokens(text), before))
                 size += len(held[-1][1]) + 1
                 if not last:
@@ -220,8 +220,8 @@ def _grams(blocks: DataFrame, size: int, least: int, wanted=None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = None if wanted is None else [(at, Members(hi, lo)) for at, hi, lo in wanted.value]
-        for batch in batches:
-            for content in batch.column(0).to_pylist():
+        for part in slices(batches, 1):
+            for content in part.column(0).to_pylist():
                 codes = np.frombuffer(content, dtype="<i4").astype(np.int64)
                 n = len(codes) - size + 1
                 if n < 1:
