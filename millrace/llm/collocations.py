@@ -24,7 +24,8 @@ FIRST = 3_000
 FURTHER = 4
 #: Words that a task gathers before it counts or writes them.
 BLOCK = 1 << 18
-#: Rows that a task hands over at a time.
+#: Words or codes that a task combines, and rows that it hands over at a time.
+ROOM = 1 << 20
 ROWS = 1 << 15
 #: More than any score, which is at most 1,000,000.
 ABOVE = 1_000_001
@@ -41,24 +42,47 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().translate(_TABLE).replace(b".", b" . ").split()
 
 
+def _combined(parts: list[pa.Table]) -> pa.Table:
+    """Sums of ``f`` by word."""
+    found = pa.concat_tables(parts).group_by("word").aggregate([("f", "sum")])
+    return pa.table({"word": found.column("word"), "f": found.column("f_sum")})
+
+
 def _word_counts(docs: DataFrame) -> DataFrame:
-    """``lang, word, f`` over all texts, combined in the tasks first."""
+    """``lang, word, f`` over all texts.
+
+    A task combines what it counts as far as its room goes, so the exchange comes before the
+    aggregation.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = defaultdict(list), 0
-
-        def counted() -> Iterator[pa.RecordBatch]:
-            for lang, words in held.items():
-                found = pa.array(words, pa.large_binary()).value_counts()
-                value = found.field("values").cast(pa.binary())
-                keep = pc.not_equal(value, b".")
-                value, count = value.filter(keep), found.field("counts").filter(keep)
-                yield from slices([
-                    pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(value), pa.string()), value.cast(pa.string()), count],
-                        names=["lang", "word", "f"],
-                    )
-                ], ROWS)
+        sums, room = defaultdict(list), 0
+
+        def count() -> None:
+            nonlocal room
+            for lang, found in held.items():
+                counts = pa.array(found, pa.large_binary()).value_counts()
+                word = counts.field("values")
+                keep = pc.not_equal(word, b".")
+                own = {"word": word.filter(keep), "f": counts.field("counts").filter(keep)}
+                sums[lang].append(pa.table(own))
+                room += len(sums[lang][-1])
+            held.clear()
+
+        def combine() -> None:
+            nonlocal room
+            for lang, parts in sums.items():
+                sums[lang] = [_combined(parts)]
+            room = sum(len(parts[0]) for parts in sums.values())
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for lang, (found,) in sums.items():
+                for part in slices(found.to_batches(), ROWS):
+                    word = part.column(0).cast(pa.binary()).cast(pa.string())
+                    name = pa.array([lang] * len(word), pa.string())
+                    yield pa.RecordBatch.from_arrays([name, word, part.column(1)], names=["lang", "word", "f"])
+            sums.clear()
 
         for part in slices(batches):
             for lang, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
@@ -66,12 +90,18 @@ def _word_counts(docs: DataFrame) -> DataFrame:
                 held[lang].extend(found)
                 size += len(found)
                 if size >= BLOCK:
-                    yield from counted()
-                    held.clear()
+                    count()
                     size = 0
-        yield from counted()
-
-    rows = docs.mapInArrow(run, "lang string, word string, f bigint")
+                    if room >= ROOM:
+                        combine()
+                        if 2 * room >= ROOM:
+                            yield from rows()
+                            room = 0
+        count()
+        combine()
+        yield from rows()
+
+    rows = docs.mapInArrow(run, "lang string, word string, f bigint").repartition("lang", "word")
     return rows.groupBy("lang", "word").agg(F.sum("f").alias("f"))
 
 
@@ -218,41 +248,50 @@ def _grams(blocks: DataFrame, size: int, least: int, wanted=None) -> DataFrame:
     that offset in it is in any of these sets. ``lo`` is None in a set of two-word grams.
     """
 
+    def counted(codes: np.ndarray, sets) -> Iterator[pa.RecordBatch]:
+        n = len(codes) - size + 1
+        if n < 1:
+            return
+        full = codes > 0
+        whole = full[:n].copy()
+        for k in range(1, size):
+            whole &= full[k : n + k]
+        at = np.flatnonzero(whole)
+        if sets is not None:
+            hit = np.zeros(len(at), dtype=bool)
+            for offset, members in sets:
+                hit |= members.holds(codes, at + offset)
+            at = at[hit]
+        hi = codes[at] << 32 | codes[at + 1]
+        if size == 2:
+            hi.sort()
+            new = hi[1:] != hi[:-1]
+        else:
+            lo = codes[at + 2] if size == 3 else codes[at + 2] << 32 | codes[at + 3]
+            order = np.lexsort((lo, hi))
+            hi, lo = hi[order], lo[order]
+            new = (hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1])
+        starts = np.flatnonzero(np.concatenate(([len(hi) > 0], new)))
+        counts = np.diff(np.append(starts, len(hi)))
+        hi = hi[starts]
+        lo = np.zeros_like(hi) if size == 2 else lo[starts]
+        columns = [pa.array(values) for values in (hi, lo, counts)]
+        yield from slices([pa.RecordBatch.from_arrays(columns, names=["hi", "lo", "a"])], ROWS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = None if wanted is None else [(at, Members(hi, lo)) for at, hi, lo in wanted.value]
+        held, room = [], 0
         for part in slices(batches, 1):
-            for content in part.column(0).to_pylist():
-                codes = np.frombuffer(content, dtype="<i4").astype(np.int64)
-                n = len(codes) - size + 1
-                if n < 1:
-                    continue
-                full = codes > 0
-                whole = full[:n].copy()
-                for k in range(1, size):
-                    whole &= full[k : n + k]
-                at = np.flatnonzero(whole)
-                if sets is not None:
-                    hit = np.zeros(len(at), dtype=bool)
-                    for offset, members in sets:
-                        hit |= members.holds(codes, at + offset)
-                    at = at[hit]
-                hi = codes[at] << 32 | codes[at + 1]
-                lo = np.zeros_like(hi)
-                if size > 2:
-                    lo = codes[at + 2] if size == 3 else codes[at + 2] << 32 | codes[at + 3]
-                order = np.lexsort((lo, hi)) if size > 2 else np.argsort(hi)
-                hi, lo = hi[order], lo[order]
-                starts = np.flatnonzero(
-                    np.concatenate(([len(hi) > 0], (hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1])))
-                )
-                counts = np.diff(np.append(starts, len(hi)))
-                yield from slices([
-                    pa.RecordBatch.from_arrays(
-                        [pa.array(hi[starts]), pa.array(lo[starts]), pa.array(counts)], names=["hi", "lo", "a"]
-                    )
-                ], ROWS)
-
-    rows = blocks.mapInArrow(run, "hi bigint, lo bigint, a bigint")
+            # A block ends with a zero: no gram goes across.
+            held.append(np.frombuffer(part.column(0)[0].as_buffer(), dtype="<i4"))
+            room += len(held[-1])
+            if room >= ROOM:
+                yield from counted(np.concatenate(held).astype(np.int64), sets)
+                held, room = [], 0
+        if held:
+            yield from counted(np.concatenate(held).astype(np.int64), sets)
+
+    rows = blocks.mapInArrow(run, "hi bigint, lo bigint, a bigint").repartition("hi", "lo")
     return rows.groupBy("hi", "lo").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
 
 
