@@ -22,6 +22,10 @@ GATHERED = 2_000_000
 _ENTRIES = 1 << 16
 #: Up to so many sets under one signature are compared with each other at once.
 COLD = 16
+#: Sets that a task remembers to have sent.
+MET = 200_000
+#: Features of a block of open sets; a task compares two blocks.
+BLOCK_FEATURES = 1 << 20
 
 # A set in a band, and one of its signatures there. Five bytes of a signature decide inside
 # its bucket; a chance hit is only a candidate more.
@@ -62,7 +66,11 @@ def with_set_keys(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _dealt(docs: DataFrame, text: str, scheme: PartEnum, buckets: int) -> DataFrame:
-    """Signatures of all texts, packed by the bucket that they fall into."""
+    """Signatures of all sets, packed by the bucket that they fall into.
+
+    A task sends a set that it met again lately only once, so a text with many copies comes
+    from every task a few times at most.
+    """
 
     def packed(entries: list, signs: list, counts: list) -> Iterator[pa.RecordBatch]:
         table = np.array(entries, dtype=_ENTRY)
@@ -88,12 +96,19 @@ def _dealt(docs: DataFrame, text: str, scheme: PartEnum, buckets: int) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries, signs, counts, total = [], [], [], 0
+        met: set[int] = set()
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for start, end in chunks(texts):
                 for features in shingle_sets(texts[start:end]):
+                    name = set_keys(features)[0]
+                    if name in met:
+                        continue
+                    if len(met) >= MET:
+                        met.clear()
+                    met.add(name)
                     for band, found, need in scheme.signatures(features):
-                        entries.append((set_keys(features)[0], max(need, 1), band))
+                        entries.append((name, max(need, 1), band))
                         signs.append(found)
                         counts.append(len(found))
                         total += len(found)
@@ -285,8 +300,8 @@ def _labelled(classes: DataFrame, links: DataFrame | None) -> DataFrame:
     return written(found.select(*classes.columns, F.coalesce("label", "cid").alias("label")))
 
 
-def _shingle_rows(nodes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """``cid, n, label, h``: a row for each shingle of the given classes."""
+def _feature_rows(nodes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """``cid, n, label, h``: the shingles of each of the given classes as an array."""
     texts = docs.select(F.col("doc").alias("_doc"), F.col("hash").alias("_hash"), F.col(text).alias("text"))
     held = nodes.join(
         texts, (nodes["hash"] == texts["_hash"]) & nodes["doc"].eqNullSafe(texts["_doc"])
@@ -296,67 +311,116 @@ def _shingle_rows(nodes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
         for batch in batches:
             texts = batch.column(3).to_pylist()
             for start, end in chunks(texts):
-                sets = [pa.array(s.view(np.int64)) for s in shingle_sets(texts[start:end])]
+                sets = [s.view(np.int64) for s in shingle_sets(texts[start:end])]
                 part = batch.slice(start, end - start)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:3], pa.array([s.tolist() for s in sets], pa.list_(pa.int64()))],
-                    names=["cid", "n", "label", "h"],
+                    [*part.columns[:3], pa.array(sets, pa.list_(pa.int64()))], names=["cid", "n", "label", "h"]
                 )
 
     rows = held.mapInArrow(run, "cid bigint, n bigint, label bigint, h array<bigint>")
     # A class may be found in repeated rows.
-    return rows.dropDuplicates(["cid"]).select("cid", "n", "label", F.explode("h").alias("h"))
+    return rows.dropDuplicates(["cid"])
 
 
-def _rest(nodes: DataFrame, classes: DataFrame, docs: DataFrame, scheme: PartEnum, text: str) -> DataFrame:
-    """Pairs ``a, b`` of sets that large groups left open and that may be similar.
+def _circles(sets: DataFrame, scheme: PartEnum) -> DataFrame:
+    """``node, label``: open sets that could be connected by pairs, as components.
 
-    A prefix filter on the shingles themselves, over these sets only: by rarity, the first
-    shingles of the smaller set and those of the larger one have one in common. Sets that
-    are connected already are not paired: per shingle, the most frequent label meets only
-    the sets of other labels.
+    A prefix filter on the shingles, over the open sets only: by rarity, the first shingles
+    of a set and those of a similar one have one in common. Every set is tied to the least set
+    under each such shingle; pairs are not formed. Shingles whose sets are all of one
+    component tie nothing.
     """
-    rows = written(_shingle_rows(nodes, docs, text))
+    rows = sets.select("cid", "n", "label", F.explode("h").alias("h"))
     times = rows.groupBy("h").agg(F.count(F.lit(1)).alias("times"))
     by_rarity = Window.partitionBy("cid").orderBy("times", "h")
-    n, num, den = F.col("n"), scheme.num, scheme.den
     ranked = rows.join(times, "h").withColumn("place", F.row_number().over(by_rarity))
-    # Places up to which a shared shingle must come, for any partner and for no smaller one.
-    any_partner = n - F.ceil(n * num / den) + 1
-    not_smaller = n - F.ceil(n * 2 * num / (num + den)) + 1
+    reach = F.col("n") - F.ceil(F.col("n") * scheme.num / scheme.den) + 1
     first = written(
-        ranked.where((F.col("times") > 1) & (F.col("place") <= any_partner)).select(
-            "h", "cid", "n", "label", "place", (F.col("place") <= not_smaller).alias("short")
-        )
-    )
-    per_label = first.groupBy("h", "label").agg(F.count(F.lit(1)).alias("c"))
-    main = (
-        per_label.groupBy("h")
-        .agg(F.max(F.struct("c", "label")).alias("most"), F.count(F.lit(1)).alias("labels"))
-        .where("labels > 1")
-        .select("h", F.col("most.label").alias("main"))
+        ranked.where((F.col("times") > 1) & (F.col("place") <= reach)).select("h", "cid", "label")
     )
-    open_ = first.join(main, "h")
-    few = open_.where("label <> main")
-    other = open_.select("h", *[F.col(c).alias(f"{c}_2") for c in ("cid", "n", "label", "place", "short", "main")])
-    smaller = (F.col("n") < F.col("n_2")) | ((F.col("n") == F.col("n_2")) & (F.col("cid") < F.col("cid_2")))
-    need = F.ceil((F.col("n") + F.col("n_2")) * num / (num + den))
-    pairs = few.join(other, "h").where(
-        (F.col("label") != F.col("label_2"))
-        # Both are among the few: once is enough.
-        & ((F.col("label_2") == F.col("main_2")) | (F.col("cid") < F.col("cid_2")))
-        & F.when(smaller, F.col("short")).otherwise(F.col("short_2"))
-        & (den * F.least("n", "n_2") >= num * F.greatest("n", "n_2"))
-        & (1 + F.least(F.col("n") - F.col("place"), F.col("n_2") - F.col("place_2")) >= need)
+    least = (
+        first.groupBy("h")
+        .agg(F.min("cid").alias("v"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+        .where("lo < hi")
     )
-    keys = classes.select("cid", "k1")
-    return (
-        pairs.select("cid", "cid_2")
-        .distinct()
-        .join(keys.withColumnRenamed("k1", "a"), "cid")
-        .join(keys.select(F.col("cid").alias("cid_2"), F.col("k1").alias("b")), "cid_2")
-        .select("a", "b")
+    tied = first.join(least, "h").select(F.col("cid").alias("u"), "v").distinct()
+    return components(tied)
+
+
+def _linked(table: pa.Table, i: int, j: int, scheme: PartEnum) -> pa.Table:
+    """Links that connect what is not connected yet, among the sets of one block or two.
+
+    Sets of unlike blocks are compared if ``i`` and ``j`` differ. Every set that shares one of
+    its rarest shingles here with a set of another component meets all sets at once,
+    by counting through their postings.
+    """
+    block = table.column("block").to_numpy()
+    cid, label = table.column("cid").to_numpy(), table.column("label").to_numpy()
+    arrays = table.column("h").combine_chunks()
+    flat = arrays.flatten().to_numpy()
+    sizes = np.diff(arrays.offsets.to_numpy())
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    code = np.unique(flat, return_inverse=True)[1]
+    times = np.bincount(code)
+    # Postings of shingles that several sets have; the others count for the union alone.
+    order = np.argsort(code, kind="stable")
+    posting, ends = owner[order], np.cumsum(times)
+    root = np.unique(label, return_inverse=True)[1]
+    found_u, found_v = [], []
+    starts = np.cumsum(sizes) - sizes
+    for x in range(len(sizes)):
+        own = code[starts[x] : starts[x] + sizes[x]]
+        reach = sizes[x] - -(-sizes[x] * scheme.num // scheme.den) + 1
+        rare = own[np.lexsort((own, times[own]))][:reach]
+        near = [posting[ends[c] - times[c] : ends[c]] for c in rare[times[rare] > 1].tolist()]
+        if not near or not (root[np.concatenate(near)] != root[x]).any():
+            continue
+        shared = [posting[ends[c] - times[c] : ends[c]] for c in own[times[own] > 1].tolist()]
+        both = np.bincount(np.concatenate(shared), minlength=len(sizes))
+        link = (scheme.den * both >= scheme.num * (sizes[x] + sizes - both)) & (root != root[x])
+        if i != j:
+            link &= block != block[x]
+        for y in np.flatnonzero(link).tolist():
+            if root[y] != root[x]:
+                found_u.append(cid[x])
+                found_v.append(cid[y])
+                root[root == root[y]] = root[x]
+    return pa.table({"u": pa.array(found_u, pa.int64()), "v": pa.array(found_v, pa.int64())})
+
+
+def _rest(nodes: DataFrame, docs: DataFrame, scheme: PartEnum, text: str) -> DataFrame:
+    """Links ``u, v`` that connect what large groups left open.
+
+    Open sets fall into circles that no similar pair leaves. A large circle is cut into blocks
+    of some ``BLOCK_FEATURES`` by hash, and every two blocks are compared in a task of
+    their own; small circles share a task. A task returns fewer links than it has sets.
+    """
+    sets = written(_feature_rows(nodes, docs, text))
+    circles = written(_circles(sets, scheme))
+    sized = sets.select("cid", "n").join(circles, F.col("cid") == F.col("node")).drop("node")
+    sums = written(sized.withColumnRenamed("label", "circle").groupBy("circle").agg(F.sum("n").alias("n")))
+    blocks = F.ceil(F.col("n") / BLOCK_FEATURES)
+    total = sums.where(blocks == 1).agg(F.sum("n")).first()[0] or 0
+    shares = max(1, -(-total // BLOCK_FEATURES))
+    placed = (
+        sets.withColumnRenamed("n", "own")
+        .join(circles.select(F.col("node").alias("cid"), F.col("label").alias("circle")), "cid")
+        .join(sums.withColumn("blocks", blocks).drop("n"), "circle")
+        .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
     )
+    lone = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("circle"), F.lit(shares)))
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
+    dealt = placed.withColumn("other", other).select(
+        F.when(F.col("blocks") > 1, F.col("circle")).alias("circle"),
+        F.coalesce(lone, F.least("block", "other")).alias("i"),
+        F.coalesce(lone, F.greatest("block", "other")).alias("j"),
+        "block", "cid", "label", "h",
+    )
+
+    def work(key: tuple, table: pa.Table) -> pa.Table:
+        return _linked(table, key[1].as_py(), key[2].as_py(), scheme)
+
+    return dealt.groupBy("circle", "i", "j").applyInArrow(work, "u bigint, v bigint")
 
 
 def near_duplicates(
@@ -375,10 +439,10 @@ def near_duplicates(
     Classes meet under PartEnum signatures, dealt into buckets of a fixed size. Sets under
     a signature of up to ``COLD`` sets are paired. Larger groups first only link a set with
     the first one of most of its groups; sets that could still have a partner there, being in none
-    or another component, are joined by the rarest of their shingles. Texts decide every
-    pair that is compared. The result is components only: pairs inside a component that is
-    known already are not compared, so the links themselves, or a document's number of
-    links, cannot be had from here.
+    or another component, are compared in blocks. Whole sets decide every pair that is
+    compared. The result is components only: pairs inside a component that is known already
+    are not compared, so the links themselves, or a document's number of links, cannot be
+    had from here.
     """
     scheme = PartEnum(num, den)
     rows = written(with_set_keys(docs, key, text))
@@ -418,8 +482,7 @@ def near_duplicates(
         .distinct()
     )
     if not left.isEmpty():
-        rest = _rest(left, classes, named, scheme, text)
-        links = links.unionByName(written(_verified(rest, placed, named, scheme, text)))
+        links = links.unionByName(written(_rest(left, named, scheme, text)))
         placed = _labelled(classes, links)
     heads = placed.groupBy("label").agg(F.min("doc").alias("component_id"))
     of_class = placed.join(heads, "label").select("k1", "k2", "n", "component_id", "label")

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 
 import numpy as np
 
 from millrace.llm.shingles import mixed
 
-#: From this size on, a band cuts the domain into half as many ranges as its sets may hold.
-_LARGE = 40
+#: Each partition of the first level has so many parts; a signature leaves one of them out.
+PARTS = 3
+#: One partition in so many is there beyond those that differences can spoil.
+SPARE = 4
 #: Where weak sets meet by their single features.
 ANY_BAND = -1
 
@@ -19,13 +20,19 @@ ANY_BAND = -1
 class PartEnum:
     """Signatures for sets with Jaccard similarity of at least ``num / den``.
 
-    Sizes form bands such that similar sets lie in the same band or in adjacent ones. Each
-    band cuts the feature domain (64-bit hashes) into ranges. A set sends, for its own band
-    and the next, one signature per non-empty range: a hash of all its features there. Two
-    similar sets differ in at most ``budget(size)`` features, hence in at most so many
-    ranges, and agree in all others: they share at least ``need`` signatures, ``need``
-    being the number of non-empty ranges less the budget. Sets for which that is below one
-    (``weak``) also send a signature for each feature, so that two such sets meet as well.
+    Sizes form bands such that similar sets lie in the same band or in adjacent ones; a set
+    sends signatures for its own band and the next. A band cuts the feature domain (64-bit
+    hashes) into partitions, and each of them into three parts. Of every partition all
+    subsets of two parts are enumerated; a signature is a hash of all features of the set in
+    such a subset. Two sets that differ in one feature of a partition agree in the two
+    parts without it.
+
+    Two similar sets differ in at most ``budget(size, band)`` features, so in more than one
+    feature of at most half as many partitions, and share a signature in each of the others.
+    Subsets without features are not sent; a partition with such a subset is not relied on.
+    What is left is ``need``, the number of signatures that a similar set surely shares. A
+    few spare partitions keep it above zero; sets for which it is not (``weak``) also send a
+    signature for each feature, so that two such sets meet as well.
     """
 
     num: int = 75
@@ -41,12 +48,17 @@ class PartEnum:
     def band(self, size: int) -> int:
         return int(np.searchsorted(self.lows, size, side="right")) - 1
 
-    def ranges(self, band: int) -> int:
-        high = self.lows[band + 1] - 1
-        return math.ceil(high / 2) if high >= _LARGE else 4 * high
+    def high(self, band: int) -> int:
+        return self.lows[band + 1] - 1
 
-    def budget(self, size: int) -> int:
-        return size * (self.den - self.num) // self.num
+    def budget(self, size: int, band: int) -> int:
+        """Features in which a set and a similar one, both of this band or below, may differ."""
+        other = min(self.high(band), size * self.den // self.num)
+        return (size + other) * (self.den - self.num) // (self.den + self.num)
+
+    def partitions(self, band: int) -> int:
+        most = self.budget(self.high(band), band) // 2 + 1
+        return most + -(-most // SPARE) if most > 1 else most
 
     def signatures(self, features: np.ndarray) -> list[tuple[int, np.ndarray, int]]:
         """(band, signatures, need) for the own band, the next and, if weak, ``ANY_BAND``.
@@ -65,12 +77,27 @@ class PartEnum:
     def _of_band(
         self, features: np.ndarray, scattered: np.ndarray, band: int
     ) -> tuple[np.ndarray, int]:
-        m = self.ranges(band)
-        place = (features >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)
-        starts = np.concatenate(([0], np.flatnonzero(np.diff(place)) + 1))
-        content = np.add.reduceat(scattered, starts)
-        found = mixed(content + mixed(place[starts], 3 + band))
-        return found, len(found) - self.budget(len(features))
+        n = self.partitions(band)
+        part = ((features >> np.uint64(32)) * np.uint64(PARTS * n) >> np.uint64(32)).astype(np.int64)
+        starts = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1))
+        content = np.zeros(PARTS * n, dtype=np.uint64)
+        content[part[starts]] = np.add.reduceat(scattered, starts)
+        used = np.zeros(PARTS * n, dtype=bool)
+        used[part[starts]] = True
+        content, used = content.reshape(n, PARTS), used.reshape(n, PARTS)
+        places = np.arange(n, dtype=np.uint64) * np.uint64(PARTS)
+        found = []
+        for left_out in range(PARTS):
+            kept = [k for k in range(PARTS) if k != left_out]
+            sent = used[:, kept].any(axis=1)
+            own = mixed(places[sent] + np.uint64(left_out), 3 + band)
+            for k in kept:
+                own = mixed(own + content[sent, k], 4 + k)
+            found.append(own)
+        # With features in one part only, or none, some subset of parts is empty.
+        relied_on = int((used.sum(axis=1) >= 2).sum())
+        spoilt = self.budget(len(features), band) // 2
+        return np.concatenate(found), relied_on - spoilt
 
 
 def similar(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:

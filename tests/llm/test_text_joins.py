@@ -127,3 +127,24 @@ def test_decontamination_runs_no_python(spark):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     plan = decontamination.contamination(docs, items)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def just_below() -> list[tuple]:
+    """Many texts that share a passage: similar to few others, or to none by a little."""
+    base = prose(7, 120)
+    rows = [(k, edited(base, 4 + k % 9, k)) for k in range(120)]
+    rows += [(1000 + k, f"{prose(k, 26)} {prose(99, 80)}") for k in range(60)]
+    rows += [(2000 + k, f"{prose(k // 2, 26)} {prose(99, 80)} {k}") for k in range(40)]
+    return rows
+
+
+@pytest.mark.parametrize("features", [1 << 20, 2_000])
+def test_large_groups_just_below_the_threshold(spark, monkeypatch, features):
+    monkeypatch.setattr(jaccard_join, "COLD", 3)
+    monkeypatch.setattr(jaccard_join, "BLOCK_FEATURES", features)
+    rows = just_below()
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    expected = linked_components(rows)
+    names = {key: expected[i][1] for i, (key, _) in enumerate(rows)}
+    assert {r.doc_id: r.component_id for r in got} == names
+    assert 20 < len(set(names.values())) < len(rows) - 20
