@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +68,12 @@ def parse_segments(content: bytes) -> Iterator[tuple[list[int | None], np.ndarra
         yield named, lengths.astype(np.int64), before, ids.astype(ID)
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> Callable[[str], bytes]:
+    """The encoder of a Python worker; tasks that follow in it know the words met so far."""
+    return id_bytes(path, keeps_space=True)
+
+
 def write_tokens(
     docs: DataFrame, folder: str, path: str, end_id: int, key: str = "doc_id", text: str = "text"
 ) -> None:
@@ -79,7 +86,7 @@ def write_tokens(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = id_bytes(path, keeps_space=True)
+        encode = _encoder(path)
         end = np.array([end_id], dtype=ID).tobytes()
         keys, ids, n, before = [], [], 0, 0
 
