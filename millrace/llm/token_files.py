@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from millrace.llm import simple8b
 from millrace.llm.base import query, slices, tokenizer_file
-from millrace.llm.encoding import ID, id_bytes
+from millrace.llm.encoding import ID
+from millrace.llm.ranked_bytes import ranked_id_bytes
 from millrace.session import load, scratch_folder, written
 
 MAGIC = b"S8BT"
@@ -70,8 +71,8 @@ def parse_segments(content: bytes) -> Iterator[tuple[list[int | None], np.ndarra
 
 @lru_cache(maxsize=1)
 def _encoder(path: str) -> Callable[[str], bytes]:
-    """The encoder of a Python worker; tasks that follow in it know the words met so far."""
-    return id_bytes(path, keeps_space=True)
+    """The encoder of a Python worker, for all of its tasks."""
+    return ranked_id_bytes(path)
 
 
 def write_tokens(

@@ -1,14 +1,17 @@
 """Token counts, packing and token files against the tokenizers library."""
 
+import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from millrace.llm import packing, simple8b, token_counts, token_files
 from millrace.llm.base import tokenizer_file
 from millrace.llm.encoding import id_bytes, load_tokenizer
+from millrace.llm.ranked_bytes import ranked_id_bytes
 from millrace.session import scratch_folder
 from tests.llm.helpers import AWKWARD, SCHEMA, clashing, prose
 
@@ -161,3 +164,16 @@ def test_packed_documents_and_sequences(spark):
     places = spark.createDataFrame([(1, 1, 0), (2, 1, 2), (3, 3, 0)], "item bigint, sequence_id bigint, offset bigint")
     whole = {r.sequence_id: bytes(r.ids) for r in packing.sequences(pieces, places).collect()}
     assert whole == {1: b"abc", 3: b"d"}
+
+
+def test_ranks_give_the_ids_of_the_library():
+    path = tokenizer_file("byte_bpe_50k.json")
+    library, ranked = Tokenizer.from_file(path), ranked_id_bytes(path)
+    rng = random.Random(5)
+    plain = [chr(c) for c in [*range(9, 14), *range(32, 127), *range(0xA0, 0x250)]] + [" "] * 60
+    plain += ["\n"] * 10 + list("eationst") * 12 + ["'s", "'ll", "<|endoftext|>"]
+    for k in range(4000):
+        letters = plain if k % 5 else [*plain, "日", "🙂", "\x85", "\x1c", "\u3000", "e\u0301"]
+        text = "".join(rng.choice(letters) for _ in range(rng.randrange(40)))
+        expected = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ranked(text), dtype="<u4").tolist() == expected, repr(text)
