@@ -22,6 +22,8 @@ GATHERED = 2_000_000
 _ENTRIES = 1 << 16
 #: Up to so many sets under one signature are compared with each other at once.
 COLD = 16
+#: A sketch counts the features of a set by this many leading bits.
+RANGE_BITS = 8
 #: Sets that a task remembers to have sent.
 MET = 200_000
 #: Features of a block of open sets; a task compares two blocks.
@@ -40,8 +42,14 @@ def set_keys(features: np.ndarray) -> tuple[int, int]:
     return tuple(np.concatenate(sums).view(np.int64).tolist())
 
 
+def sketch(features: np.ndarray) -> bytes:
+    """How many features lie in each of 256 ranges of the domain, up to 255."""
+    held = np.bincount((features >> np.uint64(64 - RANGE_BITS)).astype(np.int64), minlength=1 << RANGE_BITS)
+    return np.minimum(held, 255).astype(np.uint8).tobytes()
+
+
 def with_set_keys(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``doc, hash, n, k1, k2`` per row: its id, text hash, set size and set hashes."""
+    """``doc, hash, n, k1, k2, sketch`` per row: its id, text hash, set size, hashes and sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -56,13 +64,14 @@ def with_set_keys(docs: DataFrame, key: str, text: str) -> DataFrame:
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([k[0] for k in keys], pa.int64()),
                         pa.array([k[1] for k in keys], pa.int64()),
+                        pa.array([sketch(s) for s in sets], pa.binary()),
                     ],
-                    names=["doc", "hash", "n", "k1", "k2"],
+                    names=["doc", "hash", "n", "k1", "k2", "sketch"],
                 )
 
     rows = docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("hash"), F.col(text))
     kind = id_type(docs, key)
-    return rows.mapInArrow(run, f"doc {kind}, hash bigint, n bigint, k1 bigint, k2 bigint")
+    return rows.mapInArrow(run, f"doc {kind}, hash bigint, n bigint, k1 bigint, k2 bigint, sketch binary")
 
 
 def _dealt(docs: DataFrame, text: str, scheme: PartEnum, buckets: int) -> DataFrame:
@@ -100,14 +109,16 @@ def _dealt(docs: DataFrame, text: str, scheme: PartEnum, buckets: int) -> DataFr
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for start, end in chunks(texts):
+                new = {}
                 for features in shingle_sets(texts[start:end]):
                     name = set_keys(features)[0]
-                    if name in met:
-                        continue
-                    if len(met) >= MET:
-                        met.clear()
-                    met.add(name)
-                    for band, found, need in scheme.signatures(features):
+                    if name not in met:
+                        if len(met) >= MET:
+                            met.clear()
+                        met.add(name)
+                        new[name] = features
+                for name, signatures in zip(new, scheme.of_sets(list(new.values())), strict=True):
+                    for band, found, need in signatures:
                         entries.append((name, max(need, 1), band))
                         signs.append(found)
                         counts.append(len(found))
@@ -243,6 +254,28 @@ def _enough(pairs: DataFrame, there: DataFrame) -> DataFrame:
     return pairs.where(F.col("shared") + rest >= F.col("need"))
 
 
+def _near_enough(scheme: PartEnum):
+    """Leave out pairs whose sketches alone show too many unlike features.
+
+    Counts of a range that differ by d hold d unlike features at least.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sides = [
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1)
+                for c in ("sketch_u", "sketch_v")
+            ]
+            unlike = np.abs(sides[0].astype(np.int16) - sides[1]).sum(axis=1, dtype=np.int64)
+            both = batch.column("n_u").to_numpy() + batch.column("n_v").to_numpy()
+            keep = (scheme.num + scheme.den) * unlike <= (scheme.den - scheme.num) * both
+            yield batch.select(["u", "v", "doc_u", "hash_u", "doc_v", "hash_v"]).filter(pa.array(keep))
+
+    return run
+
+
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, scheme: PartEnum, text: str) -> DataFrame:
     """Links ``u, v`` between classes whose sets are similar, from pairs of first set hashes.
 
@@ -254,13 +287,18 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, scheme: Par
         return classes.select(
             F.col("k1").alias(name), F.col("cid").alias(number), F.col("n").alias(f"n_{number}"),
             F.col("label").alias(f"label_{number}"), F.col("doc").alias(f"doc_{number}"), F.col("hash").alias(f"hash_{number}"),
+            F.col("sketch").alias(f"sketch_{number}"),
         )
 
     sized = pairs.join(side("a", "u"), "a").join(side("b", "v"), "b")
     sized = sized.where(
         (scheme.den * F.least("n_u", "n_v") >= scheme.num * F.greatest("n_u", "n_v"))
         & (F.col("label_u") != F.col("label_v"))
-    ).select("u", "v", "doc_u", "hash_u", "doc_v", "hash_v")
+    ).select("u", "v", "doc_u", "hash_u", "doc_v", "hash_v", "n_u", "n_v", "sketch_u", "sketch_v")
+    kind = id_type(docs, "doc")
+    sized = sized.mapInArrow(
+        _near_enough(scheme), f"u bigint, v bigint, doc_u {kind}, hash_u bigint, doc_v {kind}, hash_v bigint"
+    )
     texts = docs.select(F.col("doc"), F.col("hash"), F.col(text).alias("text"))
     for number in ("u", "v"):
         named = texts.select(
@@ -446,12 +484,12 @@ def near_duplicates(
     """
     scheme = PartEnum(num, den)
     rows = written(with_set_keys(docs, key, text))
-    ids = F.struct(F.col("doc").isNull().alias("_last"), "doc", "hash")
+    ids = F.struct(F.col("doc").isNull().alias("_last"), "doc", "hash", "sketch")
     classes = written(
         rows.where("n > 0")
         .groupBy("k1", "k2", "n")
         .agg(F.min(ids).alias("first"))
-        .select("k1", "k2", "n", "first.doc", "first.hash", F.monotonically_increasing_id().alias("cid"))
+        .select("k1", "k2", "n", "first.doc", "first.hash", "first.sketch", F.monotonically_increasing_id().alias("cid"))
     )
     total = classes.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_SIGNATURES))

@@ -12,6 +12,7 @@ from millrace.llm.shingles import mixed
 PARTS = 3
 #: One partition in so many is there beyond those that differences can spoil.
 SPARE = 4
+_STRIDE = np.uint64(0xD1342543DE82EF95)
 #: Where weak sets meet by their single features.
 ANY_BAND = -1
 
@@ -65,39 +66,58 @@ class PartEnum:
 
         ``features`` are distinct and ascending.
         """
-        if not len(features):
-            return []
-        own = self.band(len(features))
-        scattered = mixed(features, 1)
-        found = [(band, *self._of_band(features, scattered, band)) for band in (own, own + 1)]
-        if min(need for _, _, need in found) < 1:
-            found.append((ANY_BAND, mixed(features, 2), 1))
+        return self.of_sets([features])[0]
+
+    def of_sets(self, sets: list[np.ndarray]) -> list[list[tuple[int, np.ndarray, int]]]:
+        """``signatures`` of each set, worked out for all of them together."""
+        found: list[list] = [[] for _ in sets]
+        full = [k for k, features in enumerate(sets) if len(features)]
+        if not full:
+            return found
+        sizes = np.array([len(sets[k]) for k in full])
+        flat = np.concatenate([sets[k] for k in full])
+        scattered = mixed(flat, 1)
+        own = np.searchsorted(self.lows, sizes, side="right") - 1
+        for step in (0, 1):
+            signs, ends, need = self._of_bands(flat, scattered, sizes, own + step)
+            starts = [0, *ends[:-1].tolist()]
+            for k, band, a, b, n in zip(full, (own + step).tolist(), starts, ends.tolist(), need.tolist()):
+                found[k].append((band, signs[a:b], n))
+        for k in full:
+            if min(need for _, _, need in found[k]) < 1:
+                found[k].append((ANY_BAND, mixed(sets[k], 2), 1))
         return found
 
-    def _of_band(
-        self, features: np.ndarray, scattered: np.ndarray, band: int
-    ) -> tuple[np.ndarray, int]:
-        n = self.partitions(band)
-        part = ((features >> np.uint64(32)) * np.uint64(PARTS * n) >> np.uint64(32)).astype(np.int64)
+    def _of_bands(
+        self, flat: np.ndarray, scattered: np.ndarray, sizes: np.ndarray, bands: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Signatures of all sets one after another, where each set's end, and its ``need``."""
+        each = {band: self.partitions(band) for band in np.unique(bands).tolist()}
+        n = np.array([each[band] for band in bands.tolist()])
+        first = np.cumsum(n) - n
+        parts = np.repeat((PARTS * n).astype(np.uint64), sizes)
+        part = ((flat >> np.uint64(32)) * parts >> np.uint64(32)).astype(np.int64)
+        part += np.repeat(PARTS * first, sizes)
         starts = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1))
-        content = np.zeros(PARTS * n, dtype=np.uint64)
+        total = int(n.sum())
+        content = np.zeros(PARTS * total, dtype=np.uint64)
         content[part[starts]] = np.add.reduceat(scattered, starts)
-        used = np.zeros(PARTS * n, dtype=bool)
+        used = np.zeros(PARTS * total, dtype=bool)
         used[part[starts]] = True
-        content, used = content.reshape(n, PARTS), used.reshape(n, PARTS)
-        places = np.arange(n, dtype=np.uint64) * np.uint64(PARTS)
-        found = []
+        content, used = content.reshape(total, PARTS), used.reshape(total, PARTS)
+        place = np.arange(total) - np.repeat(first, n)
+        signs = np.empty((total, PARTS), dtype=np.uint64)
+        sent = np.empty((total, PARTS), dtype=bool)
         for left_out in range(PARTS):
-            kept = [k for k in range(PARTS) if k != left_out]
-            sent = used[:, kept].any(axis=1)
-            own = mixed(places[sent] + np.uint64(left_out), 3 + band)
-            for k in kept:
-                own = mixed(own + content[sent, k], 4 + k)
-            found.append(own)
+            a, b = (k for k in range(PARTS) if k != left_out)
+            sent[:, left_out] = used[:, a] | used[:, b]
+            name = (place * PARTS + left_out).astype(np.uint64) * _STRIDE
+            signs[:, left_out] = mixed(name + content[:, a] + (content[:, b] ^ _STRIDE) * _STRIDE, 3)
         # With features in one part only, or none, some subset of parts is empty.
-        relied_on = int((used.sum(axis=1) >= 2).sum())
-        spoilt = self.budget(len(features), band) // 2
-        return np.concatenate(found), relied_on - spoilt
+        relied_on = np.add.reduceat((used.sum(axis=1) >= 2).astype(np.int64), first)
+        ends = np.cumsum(np.add.reduceat(sent.sum(axis=1), first))
+        spoilt = [self.budget(size, band) // 2 for size, band in zip(sizes.tolist(), bands.tolist())]
+        return signs[sent], ends, relied_on - np.array(spoilt)
 
 
 def similar(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
