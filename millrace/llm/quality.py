@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from millrace.llm.base import id_type, query
 from millrace.llm.linear import Rows, fit, predict
 from millrace.llm.shingles import chunks, word_hashes
-from millrace.session import load
+from millrace.session import load, written
 
-#: Documents, about, that the scorer is fitted on.
+#: Documents, at most, that the scorer is fitted on.
 SAMPLE_ROWS = 10_000
 COLUMNS = 1 << 14
 
@@ -219,8 +219,9 @@ def train(
     """Estimate the labellers over all documents, then fit the scorer on their posteriors.
 
     EM needs only how often each pattern of votes occurs; their number is bounded, counted by
-    Spark over every document. The scorer sees about ``rows`` documents, chosen by a hash
-    of id and text, with the posterior as a soft label.
+    Spark over every document. The scorer sees at most ``rows`` documents, those with the
+    smallest hashes of id and text, with the posterior as a soft label. Equal rows are one
+    of them, so it sees some wherever there are any.
     """
     m = len(LABELLERS)
     codes = 3 ** np.arange(m)
@@ -237,8 +238,9 @@ def train(
     found = np.array([row["pattern"] for row in patterns], dtype=np.int64)
     counts = np.array([row["n"] for row in patterns], dtype=np.float64)
     model = fit_label_model(found[:, None] // codes % 3, counts)
-    share = max(1, -(-int(counts.sum()) // rows))
-    few = docs.where(F.pmod(F.xxhash64(key, text), F.lit(share)) == 0)
+    named = docs.select(F.xxhash64(key, text).alias("hash"), F.col(text).alias("_text"))
+    least = written(named.select("hash").distinct().orderBy("hash").limit(rows))
+    few = named.join(F.broadcast(least), "hash").dropDuplicates(["hash"])
 
     def features(texts: list[str | None]) -> list[pa.Array]:
         own = traits(texts)
@@ -247,9 +249,8 @@ def train(
             pa.array(own.columns, pa.list_(pa.int64())),
         ]
 
-    hashed = F.xxhash64(key, text).alias("hash")
     sample = _per_chunk(
-        few.select(hashed, text), features, "hash bigint, good double, columns array<bigint>",
+        few.select("hash", "_text"), features, "hash bigint, good double, columns array<bigint>",
         ["hash", "good", "columns"],
     )
     held = sample.orderBy("hash", "good").collect()

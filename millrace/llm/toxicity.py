@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from millrace.llm.base import id_type, query
 from millrace.llm.linear import Rows, fit, predict
 from millrace.llm.shingles import chunks, word_hashes
-from millrace.session import load
+from millrace.session import load, written
 
 #: Labelled rows that a chain is fitted on: those with the smallest hashes of their id.
 SAMPLE_ROWS = 20_000
@@ -23,7 +23,7 @@ KEPT_COLUMNS = 512
 #: The least chi square of a kept column; chance gives so much to one in ten thousand.
 LEAST_SCORE = 15.0
 FOLDS = 3
-#: Languages that get a category of their own, the most frequent among toxic rows first.
+#: Languages with a category of their own, the most frequent among toxic rows; the others share one.
 LANGUAGES = 8
 
 # Letters, digits and all bytes of other characters make words.
@@ -82,18 +82,16 @@ def _reduced(columns: list[np.ndarray], kept: np.ndarray) -> Rows:
 
 
 def fit_chain(sample: DataFrame, categories: list[str], folds: int = FOLDS) -> Chain:
-    """Fit one logistic model per category, in order, on ``id_hash, columns`` and 0/1 flags.
+    """Fit one logistic model per category, in order, on ``id_hash, text_hash, columns`` and 0/1 flags.
 
     Each model also sees the probabilities of the categories before it. For its training
     these come out of fold: every row's from models that were fitted without its fold, so
     that later models meet errors like those at prediction. The sample must be bounded.
     """
-    sample = sample.persist()
     kept = _telling(sample, categories)
     names = F.lit(kept.tolist()) if len(kept) else F.array()
     chosen = F.array_intersect("columns", names.cast("array<bigint>"))
-    rows = sample.select("id_hash", chosen.alias("columns"), *categories).orderBy("id_hash").collect()
-    sample.unpersist()
+    rows = sample.select("id_hash", "text_hash", chosen.alias("columns"), *categories).orderBy("id_hash", "text_hash").collect()
     held = _reduced([np.array(row["columns"], dtype=np.int64) for row in rows], kept)
     fold = np.arange(len(rows)) % folds
     earlier, weights = np.zeros((len(rows), 0)), []
@@ -125,8 +123,9 @@ def train(
     """A chain over "toxic in language x" for the languages met, then "toxic" at all.
 
     At most ``rows`` labelled ids, those with the smallest hashes, are broadcast to a scan
-    of the documents, so labels need no exchange of texts. Labels with a null id or flag
-    are left out; of unequal labels of an id the toxic one counts. Without labels, or
+    of the documents, so labels need no exchange of texts. Of the documents that they meet,
+    equal ones are one, and ``rows`` at most are used, by hashes of id and text. Labels with
+    a null id or flag are left out; of unequal labels of an id the toxic one counts. Without labels, or
     with labels all alike, the chain gives the constant share of toxic rows (none: 0).
     """
     known = (
@@ -142,17 +141,20 @@ def train(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(3).to_pylist()
+            texts = batch.column(4).to_pylist()
             for start, end in chunks(texts):
                 columns = pa.array(hashed_words(texts[start:end]), pa.list_(pa.int64()))
                 part = batch.slice(start, end - start)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:3], columns], names=["id_hash", "lang", "toxic", "columns"]
+                    [*part.columns[:4], columns], names=["id_hash", "text_hash", "lang", "toxic", "columns"]
                 )
 
-    sample = met.select("id_hash", "_lang", "_flag", "_text").mapInArrow(
-        run, "id_hash bigint, lang string, toxic int, columns array<bigint>"
+    found = met.select("id_hash", F.xxhash64("_text").alias("text_hash"), "_lang", "_flag", "_text").mapInArrow(
+        run, "id_hash bigint, text_hash bigint, lang string, toxic int, columns array<bigint>"
     )
+    unlike = found.dropDuplicates(["id_hash", "text_hash"])
+    mixed = F.xxhash64("id_hash", "text_hash")
+    sample = written(unlike.orderBy(mixed, "id_hash", "text_hash").limit(rows))
     toxic = sample.where("toxic = 1 AND lang IS NOT NULL").groupBy("lang").count()
     ranked = toxic.orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
     named = {f"toxic_{row['lang']}": row["lang"] for row in ranked}
@@ -160,7 +162,10 @@ def train(
         name: ((F.col("toxic") == 1) & F.col("lang").eqNullSafe(value)).cast("int")
         for name, value in named.items()
     }
-    return fit_chain(sample.withColumns(flags), [*named, "toxic"])
+    if toxic.count() > LANGUAGES:
+        rest = (F.col("toxic") == 1) & ~F.coalesce(F.col("lang").isin(list(named.values())), F.lit(True))
+        flags["toxic in others"] = rest.cast("int")
+    return fit_chain(sample.withColumns(flags), [*flags, "toxic"])
 
 
 def score(

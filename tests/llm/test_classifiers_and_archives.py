@@ -160,3 +160,33 @@ def test_arc_of_either_version(version):
         list(warc.parse_arc(head + b"no header\n"))
     assert list(warc.parse_arc(b"")) == []
     assert gzip.decompress(gzip.compress(head)) == head
+
+
+def test_equal_rows_stay_good(spark):
+    """The scorer's sample is never empty, and equal rows are one of it."""
+    good = "This is a plain and quiet sentence about the weather, as people write it in a letter. "
+    docs = spark.range(60_000).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(good * 4).alias("text"))
+    scorer = quality.train(docs)
+    assert quality.score(docs, scorer).where("is_good").count() == 60_000
+
+
+def test_the_labelled_sample_is_bounded(spark, monkeypatch):
+    """Few labelled ids with many documents: no more rows are collected than the bound."""
+    words = F.concat(F.lit("text "), F.col("id").cast("string"), F.when(F.col("id") % 2 == 0, " vile").otherwise(" kind"))
+    docs = spark.range(3_000).select((F.col("id") % 2).alias("doc_id"), words.alias("text"), F.lit("en").alias("lang"))
+    labels = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, toxic int")
+    seen = []
+    whole = toxicity.fit_chain
+    monkeypatch.setattr(toxicity, "fit_chain", lambda sample, names: seen.append(sample.count()) or whole(sample, names))
+    chain = toxicity.train(docs.unionByName(docs), labels, rows=500)
+    assert seen == [500]
+    found = toxicity.score(docs, chain).groupBy("doc_id").agg(F.avg(F.col("is_toxic").cast("int")).alias("share"))
+    assert {row["doc_id"]: row["share"] for row in found.collect()} == {0: 1.0, 1: 0.0}
+
+
+def test_rare_languages_share_a_category(spark):
+    rows = [(k, f"{'bad' if k % 2 else 'good'} words {k}", f"l{k % 11}") for k in range(220)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(220)], "doc_id long, toxic int")
+    chain = toxicity.train(docs, labels)
+    assert len(chain.categories) == toxicity.LANGUAGES + 2 and chain.categories[-1] == "toxic"

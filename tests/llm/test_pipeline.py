@@ -28,6 +28,15 @@ def test_stages_keep_columns_and_take_effect(spark):
         assert kept.exceptAll(docs).count() == 0
 
 
+def test_stages_take_columns_of_any_name(spark):
+    taken = ("_id", "_hash", "_own", "is_good", "quality", "p_toxic", "is_toxic", "probabilities", "hash", "n", "h")
+    docs = load(spark, SF, "documents").where("doc_id < 120").withColumns({c: F.lit("mine") for c in taken})
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        kept = stage(spark, docs, SF)
+        assert kept.columns == docs.columns and kept.dtypes == docs.dtypes, name
+        assert 0 < kept.count() and kept.exceptAll(docs).count() == 0, name
+
+
 def test_one_document_of_each_group_stays(spark):
     docs = load(spark, SF, "documents")
     # Repeated rows, and texts without words.
@@ -91,5 +100,5 @@ def test_query_against_sql(spark, name):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in catalog.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert importlib.import_module("__spark_entry__").queries()["pipeline"] is corpus_pipeline.run
