@@ -20,7 +20,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 HOLD_BACK = 3
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 OUTPUT = "session_id bigint, seq bigint, chunk string"
-_STATE = "held string, n_tokens int, done boolean"
+_STATE = "held string, n_tokens int, done boolean, last_seq bigint, timer bigint"
+_NEW = ("", 0, False, 0, 0)
 
 
 def emit(held: str, token: str) -> tuple[str, str]:
@@ -35,20 +36,35 @@ class TextAssembler(StatefulProcessor):
 
     Tokens of a micro-batch are taken in ``seq`` order and shown as one chunk; the source
     delivers later tokens in later batches, and its rate limit bounds what one session can
-    bring at a time. With ``ttl_ms`` the state of a session expires that long after its last
-    token, whether or not it ended.
+    bring at a time. A timer runs out ``ttl_ms`` after a session's last token: what is held back
+    is shown then, and the session is done. A done session stays marked for ``done_ms``,
+    so that a late token does not open it anew; after that its state is gone.
     """
 
-    def __init__(self, end_token: str | None, max_tokens: int | None, ttl_ms: int | None) -> None:
+    def __init__(
+        self, end_token: str | None, max_tokens: int | None, ttl_ms: int | None, done_ms: int
+    ) -> None:
         self._end_token = end_token
         self._max_tokens = max_tokens
         self._ttl_ms = ttl_ms
+        self._done_ms = done_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._state = handle.getValueState("session", _STATE, self._ttl_ms)
+        self._handle = handle
+        self._state = handle.getValueState("session", _STATE)
+
+    def _timer(self, old: int, after: int, timerValues) -> int:
+        """Move the session's timer to so long after now; 0 without timers."""
+        if self._ttl_ms is None:
+            return 0
+        if old:
+            self._handle.deleteTimer(old)
+        new = timerValues.getCurrentProcessingTimeInMs() + after
+        self._handle.registerTimer(new)
+        return new
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        held, seen, done = self._state.get() if self._state.exists() else ("", 0, False)
+        held, seen, done, _, timer = self._state.get() if self._state.exists() else _NEW
         if done:
             return
         batch = pd.concat(list(rows)).sort_values("seq")
@@ -64,11 +80,23 @@ class TextAssembler(StatefulProcessor):
         shown, held = emit(held, "".join(taken))
         if done:
             shown, held = shown + held, ""
-        self._state.update((held, seen + len(taken), done))
+        last_seq = int(batch["seq"].iloc[-1])
+        timer = self._timer(timer, self._done_ms if done else self._ttl_ms, timerValues)
+        self._state.update((held, seen + len(taken), done, last_seq, timer))
         if shown:
-            yield pd.DataFrame(
-                {"session_id": [key[0]], "seq": [batch["seq"].iloc[-1]], "chunk": [shown]}
-            )
+            yield pd.DataFrame({"session_id": [key[0]], "seq": [last_seq], "chunk": [shown]})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if not self._state.exists():
+            return
+        held, seen, done, last_seq, _ = self._state.get()
+        if done:
+            self._state.clear()
+            return
+        self._state.update(("", seen, True, last_seq, self._timer(0, self._done_ms, timerValues)))
+        if held:
+            # Behind the last chunk; later tokens are dropped, so the place is free.
+            yield pd.DataFrame({"session_id": [key[0]], "seq": [last_seq + 1], "chunk": [held]})
 
     def close(self) -> None:
         pass
@@ -79,17 +107,19 @@ def stream_text(
     end_token: str | None = None,
     max_tokens: int | None = None,
     ttl_ms: int | None = 3_600_000,
+    done_ms: int = 86_400_000,
 ) -> DataFrame:
     """Streaming (session_id, seq, chunk): text as soon as it is safe to show.
 
     ``tokens`` streams (session_id, seq, token, is_last). A session ends at ``is_last``, at
-    ``end_token`` or after ``max_tokens``; later tokens are dropped. A run over finished
-    input (trigger ``availableNow``) passes ``ttl_ms=None``: expiry keeps a query waiting
-    for its clock, so that such a run would never end.
+    ``end_token``, after ``max_tokens`` or ``ttl_ms`` after its last token, when what was held back
+    is shown; later tokens are dropped for ``done_ms``. A run over finished input (trigger
+    ``availableNow``) passes ``ttl_ms=None``: timers keep a query waiting for its clock, so
+    that such a run would never end; its done sessions stay marked.
     """
     tokens.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return tokens.groupBy("session_id").transformWithStateInPandas(
-        statefulProcessor=TextAssembler(end_token, max_tokens, ttl_ms),
+        statefulProcessor=TextAssembler(end_token, max_tokens, ttl_ms, done_ms),
         outputStructType=OUTPUT,
         outputMode="Append",
         timeMode="None" if ttl_ms is None else "ProcessingTime",

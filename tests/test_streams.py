@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -65,6 +66,40 @@ def test_unfinished_session_keeps_its_tail(spark, tmp_path):
     assert got == {1: "abc"}
 
 
+def test_an_idle_session_shows_its_tail_and_stays_done(spark, tmp_path):
+    """The timer shows what was held back; a late token does not open the session anew."""
+    source, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+
+    def feed(rows):
+        spark.createDataFrame(rows, TOKENS).coalesce(1).write.mode("append").parquet(source)
+
+    def text_of(session):
+        chunks = spark.read.schema(ts.OUTPUT).parquet(sink)
+        return {r.session_id: r.text for r in ts.session_texts(chunks).collect()}.get(session)
+
+    def wait_for(session, text):
+        for _ in range(120):
+            if text_of(session) == text:
+                return True
+            time.sleep(0.5)
+        return False
+
+    feed([(1, 0, "abc", False), (1, 1, "def", False), (2, 0, "xy", True)])
+    stream = spark.readStream.schema(TOKENS).parquet(source)
+    query = (
+        ts.stream_text(stream, ttl_ms=2_000, done_ms=3_600_000)
+        .writeStream.format("parquet").option("path", sink).option("checkpointLocation", state)
+        .trigger(processingTime="500 milliseconds").start()
+    )
+    try:
+        assert wait_for(1, "abcdef")
+        feed([(1, 2, "late", False), (2, 1, "late", False), (3, 0, "new one", False)])
+        assert wait_for(3, "new one")
+        assert text_of(1) == "abcdef" and text_of(2) == "xy"
+    finally:
+        query.stop()
+
+
 EVENTS = "username string, seq bigint, kind string, content string"
 
 
