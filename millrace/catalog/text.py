@@ -22,13 +22,14 @@ from millrace.catalog.base import (
 )
 from millrace.catalog.rows import _BATCHES, document_manifest
 from millrace.functions import labels
-from millrace.functions.pretokens import pretokens
+from millrace.functions.pretokens import WORDS, pretokens
 from millrace.operators import samples
 from millrace.operators.templates import ANSWER_START, PLAIN, TURN_END, render, render_nested
-from millrace.operators.tokenizer import END, PAD, build_vocab, token_ids
+from millrace.operators.tokenizer import END, PAD, VOCAB_SIZE, AddedTokens, build_vocab, token_ids
 from millrace.plans.slicing import take_split
 from millrace.session import load, scratch_folder
 from millrace.sources import jsonl
+from millrace.sources import tokens as added_maps
 from millrace.sources.samples import write_samples
 
 LENGTH = samples.MAX_LENGTH
@@ -353,3 +354,57 @@ def sample_sink(spark: SparkSession, folder: str) -> DataFrame:
         "epoch", "rank", "batch_id", "pos_in_batch", "row_idx", "n_real",
         joined(F.col("input_ids")).alias("ids"),
     )
+
+
+# The words between added tokens, as a character class that both engines read alike.
+_WORDS = "'" + WORDS.replace("\\t", "\t").replace("\\r", "\r").replace("\\n", "\n") + "'"
+
+
+@query(
+    "encode_added",
+    f"""WITH roles AS (
+      SELECT role, (row_number() OVER (ORDER BY role) - 1)::INT AS id
+      FROM (SELECT DISTINCT role FROM conversations)),
+    k AS (SELECT count(*)::INT AS n FROM roles),
+    pieces AS (
+      SELECT conv_id, turn, unnest(regexp_extract_all(text, {_WORDS})) AS token,
+             generate_subscripts(regexp_extract_all(text, {_WORDS}), 1) AS nth FROM conversations),
+    ranked AS (
+      SELECT token, row_number() OVER (ORDER BY count(*) DESC, token) AS place FROM pieces GROUP BY token),
+    named AS (
+      SELECT token, (k.n + 257 + place)::INT AS token_id FROM ranked, k WHERE place <= {VOCAB_SIZE} - 258 - k.n),
+    known AS (
+      SELECT conv_id, turn, nth, CASE WHEN token_id IS NOT NULL THEN [token_id]
+        ELSE list_transform(range(octet_length(encode(p.token))), lambda i:
+          ('0x' || substr(hex(encode(p.token)), 2 * i + 1, 2))::INT + k.n + 2) END AS part
+      FROM pieces p CROSS JOIN k LEFT JOIN named ON p.token = named.token),
+    joined AS (SELECT conv_id, turn, flatten(list(part ORDER BY nth)) AS ids FROM known GROUP BY conv_id, turn),
+    whole AS (
+      SELECT c.conv_id, c.turn, list_concat([r.id, k.n], coalesce(j.ids, []::INT[]), [k.n + 1]) AS ids
+      FROM conversations c JOIN roles r USING (role) CROSS JOIN k
+      LEFT JOIN joined j ON j.conv_id = c.conv_id AND j.turn = c.turn)
+    SELECT conv_id, turn, array_to_string(ids, ',') AS ids, len(ids)::INT AS n_tokens, true AS same FROM whole""",
+)
+def encode_added(spark: SparkSession, folder: str) -> DataFrame:
+    """Turns behind a marker of their role, inside thinking tags: every tag one id, both ways.
+
+    The added tokens go through the JSON map that tokenizer configurations hold: a special one
+    for each role of the table, then the two tags, which decoding keeps.
+    """
+    rows = turns(spark, folder)
+    roles = F.array_sort(F.collect_set("role"))
+    names = F.concat(
+        F.transform(roles, lambda role: F.concat(F.lit("<|"), role, F.lit("|>"))),
+        F.array(F.lit("<think>"), F.lit("</think>")),
+    )
+    table = rows.agg(names.alias("names")).select(F.posexplode("names").alias("id", "name"))
+    of_role = F.col("name").startswith("<|")
+    maps = table.agg(added_maps.token_map(F.col("id"), F.col("name"), of_role).alias("added"))
+    tokenizer = AddedTokens.of(added_maps.added_token_rules(maps, "added")).tokenizer(rows, "content")
+    text = F.concat(F.lit("<|"), "role", F.lit("|><think>"), "content", F.lit("</think>"))
+    ids = rows.select("conv_id", "turn", text.alias("_text"), tokenizer.encode(text).alias("_ids"))
+    back = tokenizer.decode(F.col("_ids"), skip_special=False)
+    return ids.select(
+        "conv_id", "turn", joined(F.col("_ids")).alias("ids"), F.size("_ids").alias("n_tokens"),
+        (back == F.col("_text")).alias("same"),
+    )

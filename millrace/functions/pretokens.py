@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 # newline alone (so an answer's first newline never merges with the marker's), other blanks.
 MARKERS = r"<[|][a-z_]+[|]>|</?(?:think|tool_call|tool_response)>"
 PRETOKEN = MARKERS + r"| ?[^ \t\r\n<]+|\n|[ \t\r]+|<"
+#: The same words where no marker is known.
+WORDS = r" ?[^ \t\r\n]+|\n|[ \t\r]+"
 
 
 def pretokens(text: Column) -> Column:

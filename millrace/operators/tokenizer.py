@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.pretokens import pretokens
+from millrace.functions.pretokens import WORDS, pretokens
 from millrace.session import written
 
 # Special tokens in id order.
@@ -21,6 +24,7 @@ VOCAB_SIZE = 6400
 _BYTES = 256
 _BUCKETS = 4096
 MAX_VOCAB = 200_000
+MAX_ADDED = 2_000
 
 
 def build_vocab(
@@ -29,9 +33,11 @@ def build_vocab(
     size: int = VOCAB_SIZE,
     specials: tuple[str, ...] = PLAIN_SPECIALS,
     kept: tuple[str, ...] = (),
+    pieces: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """(token, token_id, special): specials, kept markers, 256 bytes, then the most frequent
-    pre-tokens up to ``size`` ids, ties in token order. At most ``size`` rows."""
+    pre-tokens up to ``size`` ids, ties in token order. At most ``size`` rows. ``pieces`` cuts
+    the texts in place of the fixed markers."""
     spark = texts.sparkSession
     added = [*specials, *kept]
     words_from = len(added) + _BYTES
@@ -49,8 +55,9 @@ def build_vocab(
         F.col("id").cast("int").alias("token_id"),
         (F.col("id") < len(specials)).alias("special"),
     )
+    cut = pretokens if pieces is None else pieces
     counts = (
-        texts.select(F.explode(pretokens(F.col(column))).alias("token"))
+        texts.select(F.explode(cut(F.col(column))).alias("token"))
         .where(~F.col("token").isin(added))
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -69,6 +76,72 @@ def build_vocab(
     )
 
 
+@dataclass(frozen=True)
+class AddedTokens:
+    """Added tokens as a table gives them: each is one pre-token wherever it may stand.
+
+    ``rules`` are (content, special, lstrip, rstrip, single_word) in id order. Of two tokens that
+    start at one place the longer one counts. A token with ``lstrip`` or ``rstrip`` takes the
+    white space on that side with it; one of ``single_word`` stands only between characters
+    that are no letters, digits or underscores.
+    """
+
+    rules: tuple[tuple[str, bool, bool, bool, bool], ...]
+
+    @classmethod
+    def of(cls, table: DataFrame) -> AddedTokens:
+        """From ``token_id, content, special, lstrip, rstrip, single_word``, ids from 0 on."""
+        rows = table.orderBy("token_id").limit(MAX_ADDED + 1).collect()
+        if len(rows) > MAX_ADDED or [row["token_id"] for row in rows] != list(range(len(rows))):
+            raise ValueError(f"added tokens need the ids from 0 on, {MAX_ADDED} at most")
+        names = ("content", "special", "lstrip", "rstrip", "single_word")
+        rules = tuple(tuple(row[name] for name in names) for row in rows)
+        # Ids stand in the vocabulary as specials first, then the others.
+        if [rule[1] for rule in rules] != sorted((rule[1] for rule in rules), reverse=True):
+            raise ValueError("special tokens come before other added tokens")
+        return cls(rules)
+
+    @property
+    def specials(self) -> tuple[str, ...]:
+        return tuple(content for content, special, *_ in self.rules if special)
+
+    @property
+    def kept(self) -> tuple[str, ...]:
+        return tuple(content for content, special, *_ in self.rules if not special)
+
+    @cached_property
+    def pattern(self) -> str:
+        """Tokens, the longest first, then the words of :data:`WORDS` up to the next token."""
+        if not self.rules:
+            return WORDS
+        forms = []
+        for content, _, left, right, word in sorted(self.rules, key=lambda rule: -len(rule[0])):
+            form = re.sub(r"([^\w\s])", r"\\\1", content)
+            form = rf"(?<!\w){form}(?!\w)" if word else form
+            forms.append(("\\s*" if left else "") + form + ("\\s*" if right else ""))
+        # A word ends where a token begins.
+        ahead = "|".join(forms)
+        words = rf" ?(?:(?!{ahead})[^ \t\r\n])+|\n|(?:(?!{ahead})[ \t\r])+"
+        return f"{ahead}|{words}"
+
+    def pretokens(self, text: Column) -> Column:
+        found = F.regexp_extract_all(text, F.lit(self.pattern), F.lit(0))
+        stripped = [content for content, _, left, right, _ in self.rules if left or right]
+        if not stripped:
+            return found
+
+        def bare(token: Column) -> Column:
+            inner = F.regexp_replace(token, r"^\s+|\s+$", "")
+            return F.when(inner.isin(stripped), inner).otherwise(token)
+
+        return F.transform(found, bare)
+
+    def tokenizer(self, texts: DataFrame, column: str = "text", size: int = VOCAB_SIZE) -> Tokenizer:
+        """A tokenizer of these tokens, the bytes and the most frequent words of ``texts``."""
+        vocab = build_vocab(texts, column, size, self.specials, self.kept, self.pretokens)
+        return Tokenizer(vocab, self)
+
+
 class Tokenizer:
     """Encode and decode against a vocabulary table whose ids run from zero.
 
@@ -78,10 +151,14 @@ class Tokenizer:
     their size is checked before they pass through the driver.
     """
 
-    def __init__(self, vocab: DataFrame, added: int = len(PLAIN_SPECIALS)) -> None:
+    def __init__(self, vocab: DataFrame, added: AddedTokens | None = None) -> None:
         # Written once, so that no later query counts the corpus again.
         self.vocab = written(vocab.coalesce(1))
-        self.byte_base = added
+        self.added = added
+        first_byte = self.vocab.where(F.col("token") == "<0x00>").agg(F.min("token_id")).first()[0]
+        if first_byte is None:
+            raise ValueError("a vocabulary needs its 256 bytes from <0x00> on")
+        self.byte_base = first_byte
         size = self.vocab.count()
         if size > MAX_VOCAB:
             raise ValueError(f"vocabulary of {size} tokens, at most {MAX_VOCAB} fit")
@@ -128,7 +205,7 @@ class Tokenizer:
 
     def encode(self, text: Column, limit: int | None = None) -> Column:
         """Token ids; ``limit`` keeps the first ids and looks no further pre-token up."""
-        tokens = pretokens(text)
+        tokens = pretokens(text) if self.added is None else self.added.pretokens(text)
         if limit is not None:
             # Every pre-token yields at least one id.
             tokens = F.slice(tokens, 1, limit)

@@ -23,6 +23,19 @@ def added_tokens(maps: DataFrame, column: str, *keep: str) -> DataFrame:
     )
 
 
+def added_token_rules(maps: DataFrame, column: str) -> DataFrame:
+    """``token_id, content, special, lstrip, rstrip, single_word`` of each JSON map's tokens.
+
+    Rules that a token does not state are false.
+    """
+    rows = maps.select(F.explode(F.from_json(column, f"map<string,{_ENTRY}>")).alias("_id", "_entry"))
+    rules = [
+        F.coalesce(F.col(f"_entry.{name}"), F.lit(False)).alias(name)
+        for name in ("special", "lstrip", "rstrip", "single_word")
+    ]
+    return rows.select(F.col("_id").cast("int").alias("token_id"), F.col("_entry.content").alias("content"), *rules)
+
+
 def token_map(token_id: Column, content: Column, special: Column) -> Column:
     """Aggregate token rows into the JSON map that :func:`added_tokens` reads."""
     entry = F.struct(

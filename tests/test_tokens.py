@@ -12,6 +12,7 @@ from millrace.operators.templates import ANSWER_START, PLAIN, TURN_END
 from millrace.operators.tokenizer import (
     KEPT_TOKENS,
     PLAIN_SPECIALS,
+    AddedTokens,
     Tokenizer,
     build_vocab,
     token_ids,
@@ -24,7 +25,7 @@ def tokenizer(spark):
     vocab = build_vocab(
         spark.createDataFrame([(text,)], "text string"), size=300, kept=KEPT_TOKENS
     )
-    return Tokenizer(vocab, len(PLAIN_SPECIALS) + len(KEPT_TOKENS))
+    return Tokenizer(vocab)
 
 
 def arrays(spark, rows):
@@ -214,3 +215,50 @@ def test_queries_on_whole_conversations(spark, tmp_path):
     assert found[2].starts == "" and len(found[2].ends.split(",")) == 2
     kept = {r.turn: r.n_ids for r in text_queries.stop_at_end_answers(spark, str(tmp_path)).collect()}
     assert kept == {1: 900, 3: 2, 5: 700}
+
+
+RULES = "token_id int, content string, special boolean, lstrip boolean, rstrip boolean, single_word boolean"
+
+
+def test_added_tokens_of_a_table_are_one_id_each(spark):
+    rows = [
+        (0, "<|endoftext|>", True, False, False, False),
+        (1, "<think>", False, False, False, False),
+        (2, "</think>", False, False, True, False),
+        (3, "<think>deep", False, False, False, False),
+        (4, "[MASK]", False, True, False, False),
+        (5, "yes", False, False, False, True),
+    ]
+    added = AddedTokens.of(spark.createDataFrame(rows, RULES))
+    texts = spark.createDataFrame([("so be it, so be it",)], "text string")
+    tokenizer = added.tokenizer(texts, size=400)
+    assert tokenizer.byte_base == 6
+    cases = {
+        "<think>": [1],
+        "<think>deep": [3],
+        "a<think>": [6 + ord("a"), 1],
+        "so</think> \n so": [*tokenizer.ids_of("so"), 2, *tokenizer.ids_of("so")],
+        "so  [MASK]so": [*tokenizer.ids_of("so"), 4, *tokenizer.ids_of("so")],
+        "yes": [5],
+        "yesno": [6 + b for b in b"yesno"],
+        "(yes)": [6 + ord("("), 5, 6 + ord(")")],
+        "<thin": [6 + b for b in b"<thin"],
+        "": [],
+    }
+    df = spark.createDataFrame([(text,) for text in cases], "text string")
+    found = {r.text: r for r in df.select("text", tokenizer.encode(F.col("text")).alias("ids")).collect()}
+    assert {text: list(row.ids) for text, row in found.items()} == cases
+    back = df.select("text", tokenizer.decode(tokenizer.encode(F.col("text"))).alias("back")).collect()
+    assert all(r.back == r.text for r in back if "</think>" not in r.text and "MASK" not in r.text)
+
+
+def test_added_tokens_need_ids_from_zero(spark):
+    rows = [(1, "<think>", False, False, False, False)]
+    with pytest.raises(ValueError):
+        AddedTokens.of(spark.createDataFrame(rows, RULES))
+
+
+def test_default_byte_base_comes_from_the_vocabulary(spark):
+    vocab = build_vocab(spark.createDataFrame([("x",)], "text string"), size=300, kept=KEPT_TOKENS)
+    tokenizer = Tokenizer(vocab)
+    assert tokenizer.ids_of("<think>") == [3] and tokenizer.ids_of("q") == [9 + ord("q")]
