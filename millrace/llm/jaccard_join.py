@@ -23,16 +23,16 @@ _ENTRIES = 1 << 16
 #: Up to so many sets under one signature are compared with each other at once.
 COLD = 16
 #: A sketch counts the features of a set by this many leading bits.
-RANGE_BITS = 8
+RANGE_BITS = 6
 #: Sets that a task remembers to have sent.
 MET = 200_000
 #: Features of a block of open sets; a task compares two blocks.
 BLOCK_FEATURES = 1 << 20
 
-# A set in a band, and one of its signatures there. Five bytes of a signature decide inside
+# A set in a band, and one of its signatures there. Four bytes of a signature decide inside
 # its bucket; a chance hit is only a candidate more.
 _ENTRY = np.dtype([("key", "<i8"), ("need", "<i4"), ("band", "i1")])
-_SIGN = np.dtype([("low", "<u4"), ("high", "u1"), ("entry", "<u2")])
+_SIGN = np.dtype([("low", "<u4"), ("entry", "<u2")])
 
 
 def set_keys(features: np.ndarray) -> tuple[int, int]:
@@ -43,7 +43,7 @@ def set_keys(features: np.ndarray) -> tuple[int, int]:
 
 
 def sketch(features: np.ndarray) -> bytes:
-    """How many features lie in each of 256 ranges of the domain, up to 255."""
+    """How many features lie in each of 64 ranges of the domain, up to 255."""
     held = np.bincount((features >> np.uint64(64 - RANGE_BITS)).astype(np.int64), minlength=1 << RANGE_BITS)
     return np.minimum(held, 255).astype(np.uint8).tobytes()
 
@@ -90,7 +90,6 @@ def _dealt(docs: DataFrame, text: str, scheme: PartEnum, buckets: int) -> DataFr
         flat, owner, bucket = flat[order], owner[order], bucket[order]
         out = np.empty(len(flat), dtype=_SIGN)
         out["low"] = flat & np.uint64(0xFFFFFFFF)
-        out["high"] = flat >> np.uint64(32) & np.uint64(0xFF)
         for part in np.split(np.arange(len(flat)), np.flatnonzero(np.diff(bucket)) + 1):
             used, own = np.unique(owner[part], return_inverse=True)
             out["entry"][part] = own
@@ -147,8 +146,7 @@ def _meet(table: pa.Table) -> pa.Table:
     for e, s in zip(table.column("entries").to_pylist(), table.column("signs").to_pylist(), strict=True):
         entries.append(np.frombuffer(e, dtype=_ENTRY))
         own = np.frombuffer(s, dtype=_SIGN)
-        value = own["low"].astype(np.uint64) | own["high"].astype(np.uint64) << np.uint64(32)
-        signs.append((value, own["entry"].astype(np.int64) + at))
+        signs.append((own["low"], own["entry"].astype(np.int64) + at))
         at += len(entries[-1])
     entries = np.concatenate(entries)
     # The same set may come from many rows and tasks; it counts once.
