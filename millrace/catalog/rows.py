@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from millrace.catalog.base import indexed_documents, lines_folder, query
 from millrace.operators import manifest
 from millrace.plans import slicing
 from millrace.plans.positions import permute
+from millrace.plans.stored import Stored, store_rows
 from millrace.session import load
 from millrace.sources import jsonl, tokens
 
@@ -50,8 +53,7 @@ def row_count(spark: SparkSession, folder: str) -> DataFrame:
 )
 def row_lookup(spark: SparkSession, folder: str) -> DataFrame:
     wanted = load(spark, folder, "labels", "doc_id").withColumnRenamed("doc_id", "row_idx")
-    n = load(spark, folder, "documents").count()
-    return slicing.lookup(indexed_documents(spark, folder), wanted, n)
+    return store_rows(load(spark, folder, "documents", "doc_id"), "doc_id").lookup(wanted)
 
 
 # What is written behind the line of a row, so that every kind of line occurs.
@@ -136,14 +138,9 @@ def special_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.added_tokens(maps, "added", "conv_id")
 
 
-def _splits(spark: SparkSession, folder: str, splits: list[str]) -> DataFrame:
-    indexed = indexed_documents(spark, folder)
-    n = load(spark, folder, "documents").count()
-    parts = [slicing.take_split(indexed, s, n).withColumn("split", F.lit(s)) for s in splits]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+def _splits(stored: Stored, splits: list[str]) -> DataFrame:
+    parts = [stored.split(s).withColumn("split", F.lit(s)) for s in splits]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _splits_sql(conditions: dict[str, str]) -> str:
@@ -169,8 +166,7 @@ def _splits_sql(conditions: dict[str, str]) -> str:
 )
 def split_range(spark: SparkSession, folder: str) -> DataFrame:
     return _splits(
-        spark,
-        folder,
+        store_rows(load(spark, folder, "documents", "doc_id"), "doc_id"),
         ["train", "train[100:500]", "train[:300]", "train[-50:]", "train[10:-10]",
          "train[0:40:2]", "train[9:3]"],
     )
@@ -187,7 +183,51 @@ def split_range(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def split_percent(spark: SparkSession, folder: str) -> DataFrame:
-    return _splits(spark, folder, ["train[25%]", "train[:10%]", "train[:33.3%]"])
+    stored = store_rows(load(spark, folder, "documents", "doc_id"), "doc_id")
+    return _splits(stored, ["train[25%]", "train[:10%]", "train[:33.3%]"])
+
+
+def _document_lines(spark: SparkSession, folder: str) -> Stored:
+    docs = load(spark, folder, "documents", "doc_id", "text")
+    return jsonl.stored_lines(spark, lines_folder(docs, F.to_json(F.struct("doc_id", "text"))))
+
+
+def _line() -> Column:
+    return F.from_json("value", "doc_id bigint, text string")
+
+
+_TEXTS = """rows AS (
+  SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) - 1 AS row_idx FROM documents)"""
+
+
+@query(
+    "line_slices",
+    f"WITH {_TEXTS} "
+    + " UNION ALL ".join(
+        f"SELECT '{split}' AS split, row_idx, doc_id, md5(text) AS text_md5 FROM rows WHERE {test}"
+        for split, test in {
+            "train[:3]": "row_idx < 3",
+            "train[100:700]": "row_idx BETWEEN 100 AND 699",
+            "train[-40:]": f"row_idx >= {_N} - 40",
+            "train[60%]": f"row_idx < floor({_N} * 60.0 / 100)",
+        }.items()
+    ),
+)
+def line_slices(spark: SparkSession, folder: str) -> DataFrame:
+    wanted = ["train[:3]", "train[100:700]", "train[-40:]", "train[60%]"]
+    rows = _splits(_document_lines(spark, folder), wanted).withColumn("r", _line())
+    return rows.select("split", "row_idx", "r.doc_id", F.md5("r.text").alias("text_md5"))
+
+
+@query(
+    "line_lookup",
+    f"""WITH {_TEXTS} SELECT r.row_idx, r.doc_id, md5(r.text) AS text_md5
+        FROM rows r JOIN labels l ON r.row_idx = l.doc_id""",
+)
+def line_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    wanted = load(spark, folder, "labels", "doc_id").withColumnRenamed("doc_id", "row_idx")
+    rows = _document_lines(spark, folder).lookup(wanted).withColumn("r", _line())
+    return rows.select("row_idx", "r.doc_id", F.md5("r.text").alias("text_md5"))
 
 
 @query("head_n", f"WITH {_ROWS} SELECT row_idx, doc_id FROM rows WHERE row_idx < 50")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.session import written
 
 # monotonically_increasing_id() keeps the row counter in its low 33 bits.
-_COUNTER_MASK = (1 << 33) - 1
+COUNTER_MASK = (1 << 33) - 1
 # Split tables up to this many rows (about 100 MB) are broadcast, larger ones shuffled.
 BROADCAST_SPLITS = 1_000_000
 # Rows of a permutation's bucket, at most about.
@@ -23,7 +23,7 @@ def _pin_splits(spark: SparkSession) -> None:
         )
 
 
-def _running_before(value: str, order: list[str], within: list[str]) -> Column:
+def running_before(value: str, order: list[str], within: list[str]) -> Column:
     """Sum of ``value`` over the rows before the current one; for small tables only."""
     window = Window.partitionBy(*within).orderBy(*order)
     return F.coalesce(
@@ -31,9 +31,14 @@ def _running_before(value: str, order: list[str], within: list[str]) -> Column:
     )
 
 
-def index_files(scan: DataFrame, name: str = "row_idx") -> DataFrame:
+def index_files(
+    scan: DataFrame, name: str = "row_idx", parts: DataFrame | None = None
+) -> DataFrame:
     """Number the rows of a plain file scan from zero in (file path, line) order.
 
+    ``parts`` (part, first_row, n_rows), one row per file, tells where each file begins if the
+    scan holds only some of the files; one that has other rows by now fails.
+
     Pass one counts rows per file split and reads no column; pass two is the scan itself
     with a narrow join to the split table. Both see the same splits: the scan is one file
     listing and the split size is pinned. A mismatch fails instead of misnumbering.
@@ -53,9 +58,17 @@ def index_files(scan: DataFrame, name: str = "row_idx") -> DataFrame:
     )
     # One row per file: the listing the driver already holds.
     files = splits.groupBy("_file").agg(F.sum("_rows").alias("_in_file"))
-    files = files.select("_file", _running_before("_in_file", ["_file"], []).alias("_base"))
+    if parts is None:
+        files = files.select("_file", running_before("_in_file", ["_file"], []).alias("_base"))
+    else:
+        known = parts.select(F.col("part").alias("_file"), "first_row", "n_rows")
+        changed = F.concat(F.lit("file changed since it was indexed: "), F.col("_file"))
+        base = F.when(F.col("_in_file") == F.col("n_rows"), F.col("first_row")).otherwise(
+            F.raise_error(changed).cast("bigint")
+        )
+        files = files.join(known, "_file", "left").select("_file", base.alias("_base"))
     offsets = splits.withColumn(
-        "_before", _running_before("_rows", ["_start"], ["_file"])
+        "_before", running_before("_rows", ["_start"], ["_file"])
     ).join(files, "_file")
     offsets = offsets.select(
         "_file", "_start", "_rows", "_first", (F.col("_base") + F.col("_before")).alias("_base")
@@ -89,11 +102,11 @@ def index_by_key(
         .select(
             "*",
             F.spark_partition_id().alias("_part"),
-            F.monotonically_increasing_id().bitwiseAND(_COUNTER_MASK).alias("_local"),
+            F.monotonically_increasing_id().bitwiseAND(COUNTER_MASK).alias("_local"),
         )
     )
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
-    offsets = counts.select("_part", _running_before("_rows", ["_part"], []).alias("_base"))
+    offsets = counts.select("_part", running_before("_rows", ["_part"], []).alias("_base"))
     return ranged.join(F.broadcast(offsets), "_part").select(
         (F.col("_base") + F.col("_local")).alias(name), *df.columns
     )
@@ -122,7 +135,7 @@ def permute(
     )
     counts = keyed.groupBy("epoch", "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
     offsets = counts.select(
-        "epoch", "_bucket", _running_before("_rows", ["_bucket"], ["epoch"]).alias("_base")
+        "epoch", "_bucket", running_before("_rows", ["_bucket"], ["epoch"]).alias("_base")
     )
     inside = Window.partitionBy("epoch", "_bucket").orderBy("_hash", "row_idx")
     return (

@@ -51,17 +51,16 @@ def count_rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def checked_positions(wanted: DataFrame, n: int) -> DataFrame:
+    """``wanted.row_idx``; a null position or one outside ``0..n - 1`` fails."""
+    row = F.col("row_idx").cast("bigint")
+    shown = F.coalesce(row.cast("string"), F.lit("null"))
+    wrong = F.raise_error(F.concat(F.lit("row index out of range: "), shown))
+    inside = row.between(0, n - 1)
+    return wanted.select(F.when(inside, row).otherwise(wrong.cast("bigint")).alias("row_idx"))
+
+
 def lookup(indexed: DataFrame, wanted: DataFrame, n: int | None = None) -> DataFrame:
     """Rows at the positions in ``wanted.row_idx``; a position outside the table fails."""
     total = indexed.count() if n is None else n
-    inside = F.col("row_idx").between(0, total - 1)
-    checked = wanted.select(
-        F.when(inside, F.col("row_idx"))
-        .otherwise(
-            F.raise_error(
-                F.concat(F.lit("row index out of range: "), F.col("row_idx").cast("string"))
-            ).cast("bigint")
-        )
-        .alias("row_idx")
-    )
-    return indexed.join(checked, "row_idx")
+    return indexed.join(checked_positions(wanted, total), "row_idx")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.jsontext import spaced
 from millrace.plans.positions import index_files
+from millrace.plans.stored import StoredLines, store_lines
 
 STATUSES = ("ok", "blank", "bad_json", "missing_key")
 MODES = ("failfast", "quarantine", "drop")
@@ -20,9 +21,20 @@ MESSAGES = (
 _CALL = "struct<name:string,arguments:string,function:string>"
 
 
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return spark.read.option("lineSep", "\n").text(path)
+
+
 def scan_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Every ``\\n``-ended line with its position; blank lines count, the last may be open."""
-    return index_files(spark.read.option("lineSep", "\n").text(path))
+    return index_files(_lines(spark, path))
+
+
+def stored_lines(
+    spark: SparkSession, path: str | list[str], index: str | None = None
+) -> StoredLines:
+    """The same lines behind a stored index, for slices and lookups that open few files."""
+    return store_lines(_lines(spark, path), index)
 
 
 def stripped(line: Column) -> Column:
