@@ -10,7 +10,7 @@ from millrace.functions.pretokens import pretokens
 from millrace.operators.tokenizer import END
 from millrace.session import load, scratch_folder
 from millrace.streaming import tokens as token_stream
-from millrace.streaming import upkeep
+from millrace.streaming import upkeep, versions
 
 MAX_TOKENS = 400
 
@@ -85,9 +85,7 @@ def batch_stop(spark: SparkSession, folder: str) -> DataFrame:
     return token_stream.batch_text(_token_table(spark, folder, END), END, MAX_TOKENS)
 
 
-@query(
-    "stream_transcripts",
-    """WITH told AS (
+_TOLD = """told AS (
          SELECT 'user_' || user_id AS username, event_id AS seq,
            CASE WHEN event_type IN ('signup', 'view', 'click') THEN 'login' ELSE 'update' END AS kind,
            CASE event_type WHEN 'error' THEN '[]' ELSE props END AS content
@@ -97,18 +95,17 @@ def batch_stop(spark: SparkSession, folder: str) -> DataFrame:
        lasts AS (
          SELECT told.username, arg_max(content, seq) AS content
          FROM told JOIN firsts ON told.username = firsts.username
-         WHERE kind = 'update' AND seq > first_login GROUP BY told.username)
+         WHERE kind = 'update' AND seq > first_login GROUP BY told.username)"""
+
+
+@query(
+    "stream_transcripts",
+    f"""WITH {_TOLD}
        SELECT firsts.username, coalesce(content, '') AS content
        FROM firsts LEFT JOIN lasts ON firsts.username = lasts.username""",
 )
 def stream_transcripts(spark: SparkSession, folder: str) -> DataFrame:
-    kind = F.col("event_type")
-    told = load(spark, folder, "events").select(
-        F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("username"),
-        F.col("event_id").alias("seq"),
-        F.when(kind.isin("signup", "view", "click"), "login").otherwise("update").alias("kind"),
-        F.when(kind == "error", "[]").otherwise(F.col("props")).alias("content"),
-    )
+    told = _told(spark, folder)
     source, table, state = (scratch_folder(spark) for _ in range(3))
     told.repartition(4, "username").write.parquet(source)
     stream = (
@@ -116,3 +113,34 @@ def stream_transcripts(spark: SparkSession, folder: str) -> DataFrame:
     )
     upkeep.upkeep(stream, table, state).awaitTermination()
     return upkeep.current(spark, table).select("username", "content")
+
+
+def _told(spark: SparkSession, folder: str) -> DataFrame:
+    kind = F.col("event_type")
+    return load(spark, folder, "events").select(
+        F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("username"),
+        F.col("event_id").alias("seq"),
+        F.when(kind.isin("signup", "view", "click"), "login").otherwise("update").alias("kind"),
+        F.when(kind == "error", "[]").otherwise(F.col("props")).alias("content"),
+    )
+
+
+@query(
+    "stream_users",
+    f"""WITH {_TOLD}
+       SELECT row_number() OVER (ORDER BY first_login, firsts.username) AS id,
+              firsts.username, coalesce(content, '') AS content
+       FROM firsts LEFT JOIN lasts ON firsts.username = lasts.username""",
+)
+def stream_users(spark: SparkSession, folder: str) -> DataFrame:
+    """All events in three micro-batches by time, merged after the second."""
+    told = _told(spark, folder)
+    source, table, state = (scratch_folder(spark) for _ in range(3))
+    ends = [F.coalesce(end, F.lit(0)) for end in (F.min("seq"), F.max("seq"))]
+    low, high = told.agg(*ends).first()
+    third = F.least(F.floor((F.col("seq") - low) * 3 / (high - low + 1)), F.lit(2))
+    for k in range(3):
+        told.where(third == k).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(told.schema).parquet(source)
+        versions.upkeep(stream, table, state, merge_every=2).awaitTermination()
+    return versions.current(spark, table)
