@@ -13,15 +13,20 @@ from millrace.llm.base import query
 from millrace.session import load, written
 
 #: Rows of an index block, and queries of a query block.
-BLOCK_ROWS = 8192
+BLOCK_ROWS = 32_768
 BLOCK_QUERIES = 256
-#: Components beyond this bound raise an error, as their scores may not fit 64 bits.
-LARGEST = 2**24
 _WORD = 64
+#: Bytes and zero point of exact scores as binary that sorts like them: sums of up to 2**31
+#: products of two 64-bit numbers fit.
+_SORT_BYTES = 20
+_SORT_ZERO = 1 << (8 * _SORT_BYTES - 1)
 
 
 def quantised(vector: Column, scale: int) -> Column:
-    """``floor(scale * x)`` of each component; null where the vector takes no part."""
+    """``floor(scale * x)`` of each component; null where the vector takes no part.
+
+    What 64 bits do not hold becomes the nearest number that they do.
+    """
     good = vector.isNotNull() & F.forall(
         vector,
         lambda x: x.isNotNull()
@@ -140,17 +145,22 @@ def _sums(slices: list[np.ndarray], rows: np.ndarray) -> list[int]:
 
 
 def search_block(
-    ids: np.ndarray, values: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int
+    ids: np.ndarray,
+    low: np.ndarray,
+    slices: list[np.ndarray],
+    query_ids: np.ndarray,
+    queries: np.ndarray,
+    k: int,
 ) -> Iterator[tuple[int, np.ndarray, list[int]]]:
     """Position of each query, with the places and scores of its best k rows of one block.
 
-    Rows come in ascending order of id. Rows with the id of the query are its own.
+    ``low`` and ``slices`` are the block's index. Its rows come in ascending order of id.
+    Rows with the id of the query are its own.
     """
-    low, slices = slice_up(values)
     everything = _bits(np.ones((1, len(ids)), dtype=np.uint8))[0]
     for position, (own, weights) in enumerate(zip(query_ids.tolist(), queries.tolist(), strict=True)):
         among = everything
-        first, last = np.searchsorted(ids, [own, own + 1])
+        first, last = np.searchsorted(ids, own), np.searchsorted(ids, own, "right")
         if first < last:
             mask = np.ones((1, len(ids)), dtype=np.uint8)
             mask[0, first:last] = 0
@@ -175,7 +185,67 @@ def _packed_blocks(df: DataFrame, rows: int, key: str) -> DataFrame:
     return dealt.groupBy("_dims", "_block").agg(F.collect_list(cell).alias("_cells"))
 
 
-_FOUND = "query_id bigint, query_uid bigint, vec_id bigint, uid bigint, score bigint"
+_INDEX = (
+    "_dims int, _block int, ids array<bigint>, uids array<bigint>, low array<bigint>, "
+    "bits array<int>, slices array<binary>"
+)
+
+
+def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The index of each block: its ids in order, lowest values, and slices as bytes.
+
+    The slices of an attribute lie one after the other in one value; ``bits`` has their number.
+    """
+    for batch in batches:
+        for place in range(batch.num_rows):
+            ids, uids, values = _arrays(batch.column("_cells")[place].values)
+            order = np.lexsort((uids, ids))
+            low, slices = slice_up(values[order])
+            one = {
+                "_dims": batch.column("_dims")[place].as_py(),
+                "_block": batch.column("_block")[place].as_py(),
+                "ids": ids[order],
+                "uids": uids[order],
+                "low": low,
+                "bits": np.array([len(stack) for stack in slices], dtype=np.int32),
+                "slices": [stack.astype("<u8").tobytes() for stack in slices],
+            }
+            yield pa.RecordBatch.from_pylist([one], schema=_INDEX_ARROW)
+
+
+_INDEX_ARROW = pa.schema(
+    [
+        ("_dims", pa.int32()),
+        ("_block", pa.int32()),
+        ("ids", pa.list_(pa.int64())),
+        ("uids", pa.list_(pa.int64())),
+        ("low", pa.list_(pa.int64())),
+        ("bits", pa.list_(pa.int32())),
+        ("slices", pa.list_(pa.binary())),
+    ]
+)
+
+
+def build_index(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Bit slices of blocks of some ``block_rows`` rows (``_id, _uid, _q``), built once and stored."""
+    blocks = _packed_blocks(rows, block_rows, "_id")
+    return written(blocks.select("_dims", "_block", "_cells").mapInArrow(_build, _INDEX))
+
+
+def _opened(batch: pa.RecordBatch, place: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    ids, uids, low, bits = (
+        batch.column(name)[place].values.to_numpy() for name in ("ids", "uids", "low", "bits")
+    )
+    stacks = batch.column("slices")[place].values
+    slices = [
+        np.frombuffer(stack.as_buffer(), dtype="<u8").reshape(n, -1)
+        for stack, n in zip(stacks, bits.tolist(), strict=True)
+    ]
+    return ids, uids, low, slices
+
+
+_FOUND = "query_id bigint, query_uid bigint, vec_id bigint, uid bigint, score bigint, exact binary"
+_LEAST, _MOST = -(2**63), 2**63 - 1
 
 
 def top_k(
@@ -194,23 +264,21 @@ def top_k(
     Vectors that are null or hold null or non-finite components, and rows without an id,
     take no part; vectors of different lengths are not compared. Rows with an equal id are
     one another's own; repeated rows stay candidates and queries each. Other columns are
-    not read. Components of 2**24 and more after scaling raise an error.
+    not read. Components of any finite size take part: sums are exact whatever their size and
+    decide the ranks, and a score that 64 bits do not hold is shown as the nearest number that
+    they do. Scaled components beyond 64 bits count as the nearest such number.
 
-    Index blocks of some ``block_rows`` rows meet query blocks; each pair is one task's
-    work and returns k rows a query, which are ranked in the end.
+    The index holds the bit slices of blocks of some ``block_rows`` rows and is built once.
+    Index blocks meet query blocks; each pair is one task's work and returns k rows a query,
+    which are ranked in the end.
     """
     rows = vectors.select(
         F.col(key).cast("bigint").alias("_id"),
         quantised(F.col(vector), scale).alias("_q"),
         F.coalesce(queries, F.lit(False)).alias("_asks"),
     ).where(F.col("_id").isNotNull() & F.col("_q").isNotNull())
-    fits = F.forall("_q", lambda x: F.abs(x) < LARGEST)
-    rows = written(
-        rows.withColumn(
-            "_q", F.when(fits, F.col("_q")).otherwise(F.raise_error(F.lit("component too large")))
-        ).withColumn("_uid", F.monotonically_increasing_id())
-    )
-    index = written(_packed_blocks(rows.drop("_asks"), block_rows, "_id"))
+    rows = written(rows.withColumn("_uid", F.monotonically_increasing_id()))
+    index = build_index(rows.drop("_asks"), block_rows)
     asked = _packed_blocks(rows.where("_asks").drop("_asks"), BLOCK_QUERIES, "_id").select(
         "_dims", F.col("_block").alias("_query_block"), F.col("_cells").alias("_queries")
     )
@@ -220,26 +288,27 @@ def top_k(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for place in range(batch.num_rows):
-                asking = batch.column("_queries")[place].values
-                cells = batch.column("_cells")[place].values
-                own, uid, q = _arrays(asking)
-                ids, uids, values = _arrays(cells)
-                order = np.lexsort((uids, ids))
-                ids, uids, values = ids[order], uids[order], values[order]
-                out = [[], [], [], [], []]
-                for n, found, scores in search_block(ids, values, own, q, k):
+                own, uid, q = _arrays(batch.column("_queries")[place].values)
+                ids, uids, low, slices = _opened(batch, place)
+                out = [[], [], [], [], [], []]
+                for n, found, scores in search_block(ids, low, slices, own, q, k):
                     m = len(found)
+                    shown = [min(max(s, _LEAST), _MOST) for s in scores]
+                    exact = [(s + _SORT_ZERO).to_bytes(_SORT_BYTES, "big") for s in scores]
                     for column, more in zip(
-                        out, ([own[n]] * m, [uid[n]] * m, ids[found], uids[found], scores), strict=True
+                        out,
+                        ([own[n]] * m, [uid[n]] * m, ids[found], uids[found], shown, exact),
+                        strict=True,
                     ):
                         column.extend(more)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(column, pa.int64()) for column in out],
-                    names=["query_id", "query_uid", "vec_id", "uid", "score"],
+                    [pa.array(column, pa.int64()) for column in out[:5]]
+                    + [pa.array(out[5], pa.binary())],
+                    names=["query_id", "query_uid", "vec_id", "uid", "score", "exact"],
                 )
 
-    found = met.select("_queries", "_cells").mapInArrow(run, _FOUND)
-    best = Window.partitionBy("query_uid").orderBy(F.desc("score"), "vec_id", "uid")
+    found = met.select("_queries", "ids", "uids", "low", "bits", "slices").mapInArrow(run, _FOUND)
+    best = Window.partitionBy("query_uid").orderBy(F.desc("exact"), "vec_id", "uid")
     return (
         found.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)

@@ -47,6 +47,25 @@ def test_ties_few_candidates_and_no_rows(spark):
     assert search(spark, []) == []
 
 
+def test_components_of_any_finite_size(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, (rng.normal(size=3) * 10.0 ** rng.integers(0, 7)).tolist()) for i in range(60)]
+    rows += [(60, [70000.0, -70000.0, 1.0]), (61, [2.0**22, 2.0**22, 2.0**21])]
+    assert search(spark, rows, block=20) == brute(rows, 5, lambda i: i % 10 == 0)
+
+
+def test_scores_beyond_64_bits_rank_by_their_exact_size(spark):
+    rows = [(0, [2.0**40, 2.0**40]), (1, [2.0**40, 0.0]), (2, [2.0**40, 2.0**39]), (3, [-(2.0**40), -1.0]), (4, [1e300, 0.0])]
+    found = search(spark, rows, block=2)
+    assert [r[2] for r in found] == [4, 2, 1, 3]
+    assert [r[3] for r in found] == [2**63 - 1] * 3 + [-(2**63)]
+
+
+def test_empty_vectors_meet_empty_vectors(spark):
+    rows = [(i, []) for i in range(4)]
+    assert search(spark, rows) == [(0, 1, 1, 0), (0, 2, 2, 0), (0, 3, 3, 0)]
+
+
 def test_slices_add_up():
     rng = np.random.default_rng(2)
     values, weights = rng.integers(-300, 300, (200, 5)), [7, -13, 0, 255, -256]
