@@ -137,12 +137,19 @@ def pack(items: DataFrame, size: int, group_items: int = GROUP_ITEMS) -> DataFra
     Returns ``item, sequence_id, offset``; a sequence is named by its first item, and its
     items lie without gaps from offset 0. Items of full length are bins at once. The others
     are dealt over groups of ``group_items`` and packed there, longest first, each into the
-    fullest bin with room. Nearly full bins leave; underfull ones are the items of the next
-    round, in fewer groups, until one group held them all or a round saves less than 1 % of
-    its bins; with several groups left, that round's underfull bins are then final, so a
-    few more sequences than by further rounds are possible. No item is lost. A task never holds more than a group, however many rows share a length or key.
-    No items give no rows.
+    fullest bin with room. Nearly full bins leave; of the underfull ones, those that can
+    still be joined are the items of the next round, in fewer groups, until one group held
+    them all or none is left. A task never holds more than a group, however many rows share
+    a length or key. No item is lost, no items give no rows.
+
+    Two bins that a group leaves never fit into one, so at most one bin a group is half full
+    or less, and every later join takes one of these. Each join needs at most one bin that is
+    more than half full, and the emptiest serve as well as any others. So a round goes on
+    with the bins of up to half a size and as many of the emptiest others. With groups of
+    four items and more, each round has fewer items than the one before.
     """
+    if group_items < 4:
+        raise ValueError("group_items must be at least four")
     start = items.select(
         F.col("length").alias("fill"),
         (F.col("length") < size).alias("open"),
@@ -155,11 +162,17 @@ def pack(items: DataFrame, size: int, group_items: int = GROUP_ITEMS) -> DataFra
     while n:
         groups = -(-n // group_items)
         bins = written(_pack_round(left, size, groups))
-        left, before, n = bins.where("open"), n, bins.where("open").count()
-        if groups == 1 or n > 0.99 * before:
+        if groups == 1:
             done = done.unionByName(bins)
             break
-        done = done.unionByName(bins.where(~F.col("open")))
+        small = F.col("open") & (2 * F.col("fill") <= size)
+        n_small = bins.where(small).count()
+        others = bins.where(F.col("open") & ~small).withColumn("_first", F.expr("members[0].item"))
+        emptiest = others.orderBy("fill", "_first").limit(n_small).drop("_first")
+        left = written(bins.where(small).unionByName(emptiest))
+        going = left.select(F.expr("members[0].item").alias("_gone"))
+        stay = bins.join(going, F.expr("members[0].item") == F.col("_gone"), "left_anti")
+        done, n = done.unionByName(stay), left.count()
     return done.select(
         F.expr("members[0].item").alias("sequence_id"), F.inline("members")
     ).select("item", "sequence_id", F.col("at").alias("offset"))

@@ -2,7 +2,7 @@
 
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -147,6 +147,20 @@ def test_items_over_half_stay_alone_and_no_items_give_none(spark):
     assert packing.pack(items.limit(0), 100).count() == 0
 
 
+@pytest.mark.parametrize(("lengths", "group_items"), [((30,), 4), ((70, 8), 10), ((51, 52, 3), 25), ((60, 41, 17), 12)])
+def test_no_two_underfull_sequences_fit_together(spark, lengths, group_items):
+    rows = [(i, lengths[i * i % 7 % len(lengths)]) for i in range(300)]
+    items = spark.createDataFrame(rows, "item bigint, length bigint")
+    placed = packing.pack(items, 100, group_items).collect()
+    assert sorted(r.item for r in placed) == list(range(300))
+    fills = Counter()
+    for r in placed:
+        fills[r.sequence_id] += rows[r.item][1]
+    open_ = sorted(f for f in fills.values() if 100 - f > int(100 * packing.NEARLY_FULL))
+    assert max(fills.values()) <= 100
+    assert len(open_) < 2 or open_[0] + open_[1] > 100
+
+
 def test_packed_documents_and_sequences(spark):
     df = clashing(spark.createDataFrame(AWKWARD, SCHEMA))
     rows = packing.pack_documents(df, WORDS, size=256).collect()
