@@ -11,11 +11,15 @@ from millrace.session import load
 #: Days of a bucket that validity intervals and captures meet in.
 BUCKET_DAYS = 30
 _BUCKET_SECONDS = BUCKET_DAYS * 86_400
+_HOST = r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^/?#\]]*\]|[^/?#:@]+)"
 
 
 def host_of(url: Column) -> Column:
-    """Host in lower case, without user, port and a closing dot; null if there is none."""
-    host = F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)", 1)
+    """Host in lower case, without user, port and a closing dot; null if there is none.
+
+    An IPv6 address keeps its brackets.
+    """
+    host = F.regexp_extract(F.lower(url), _HOST, 1)
     return F.nullif(F.rtrim(host, F.lit(".")), F.lit(""))
 
 
@@ -86,17 +90,17 @@ def filter_captures(captures: DataFrame, entries: DataFrame) -> DataFrame:
     a host before a domain, a longer pattern before a shorter one, ``allow`` before
     ``block``, and the smaller list id in the end. ``decision`` is ``drop`` if that entry
     blocks, else ``keep``; captures without a match, URL, host or time are kept. Equal rows
-    are one capture. Other columns are not read; an empty list keeps everything.
+    are judged once and each comes back. Other columns are not read; an empty list keeps
+    everything.
 
     The as-of join is an equi-join on pattern and time bucket with the bounds of the
     interval as its condition: intervals of a list and pattern do not overlap, so that at
     most one is met. Buckets spread the captures of a frequent host, and the skew join splits
     what is left.
     """
-    own = (
-        captures.select("page_id", "url", "fetched")
-        .distinct()
-        .select("*", host_of(F.col("url")).alias("_host"), path_of(F.col("url")).alias("_path"))
+    every = captures.select("page_id", "url", "fetched")
+    own = every.distinct().select(
+        "*", host_of(F.col("url")).alias("_host"), path_of(F.col("url")).alias("_path")
     )
     dots = F.length("pattern") - F.length(F.replace(F.col("pattern"), F.lit("."), F.lit("")))
     slashes = F.length("pattern") - F.length(F.replace(F.col("pattern"), F.lit("/"), F.lit("")))
@@ -137,7 +141,7 @@ def filter_captures(captures: DataFrame, entries: DataFrame) -> DataFrame:
         & (F.col("fetched") == F.col("_at"))
         & F.col("page_id").eqNullSafe(F.col("_id"))
     )
-    return own.join(verdicts, same, "left").select(
+    return every.join(verdicts, same, "left").select(
         "page_id", "url", "fetched",
         F.coalesce("n_active", F.lit(0)).cast("bigint").alias("n_active"),
         F.when(F.col("by.action") == "block", "drop").otherwise("keep").alias("decision"),
@@ -213,7 +217,7 @@ _START = f"({_sql_digits(_CODE, 2)} % 300)"
 _SQL = f"""
 WITH parts AS (
   SELECT DISTINCT page_id, url,
-    nullif(rtrim(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '.'), '') AS host,
+    nullif(rtrim(regexp_extract(lower(url), '{_HOST}', 1), '.'), '') AS host,
     trim(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/') AS path,
     {_sql_day(_sql_digits("page_id::VARCHAR", 1) + " % 366")} AS fetched
   FROM pages),
@@ -256,7 +260,7 @@ ranked AS (
   FROM met WHERE action <> 'remove')
 SELECT p.page_id, p.url, coalesce(n_active, 0) AS n_active,
   CASE WHEN action = 'block' THEN 'drop' ELSE 'keep' END AS decision, list_id, kind, pattern
-FROM parts p LEFT JOIN ranked r ON p.page_id = r.page_id AND p.url = r.url AND r.place = 1"""
+FROM pages p LEFT JOIN ranked r ON p.page_id = r.page_id AND p.url = r.url AND r.place = 1"""
 
 
 @query("op1_url_filter", _SQL)

@@ -110,3 +110,16 @@ def test_allow_wins_a_tie_and_empty_tables(spark):
     assert judge(spark, [capture], entries) == {capture: ("keep", 2, "b")}
     assert judge(spark, [capture], []) == {capture: ("keep", 0, None)}
     assert judge(spark, [], entries) == {}
+
+
+def test_every_repeated_capture_comes_back(spark):
+    entries = spark.createDataFrame([("a", "host", "x.example", "block", day(1))], ENTRY)
+    rows = [(1, "http://x.example/", day(3), "x", "y")] * 3 + [(None, None, None, "x", "y")] * 2
+    found = url_filter.filter_captures(spark.createDataFrame(rows, CAPTURE), entries).collect()
+    assert sorted((r.decision, r.n_active) for r in found) == [("drop", 1)] * 3 + [("keep", 0)] * 2
+
+
+def test_hosts_of_addresses(spark):
+    urls = ["http://[2001:DB8::1]:80/a", "http://me@[::1]/", "http://1.2.3.4:5/", "http://X.example.:1"]
+    rows = spark.createDataFrame([(u,) for u in urls], "url string").select(url_filter.host_of(F.col("url")).alias("h"))
+    assert [r.h for r in rows.collect()] == ["[2001:db8::1]", "[::1]", "1.2.3.4", "x.example"]
