@@ -133,14 +133,15 @@ def decode(spark: SparkSession, folder: str) -> DataFrame:
     "stop_at_end",
     f"""{_CHAT_IDS}, cutting AS (
           SELECT conv_id, ids, coalesce(list_position(ids, 2), len(ids) + 1) - 1 AS kept FROM encoded)
-        SELECT conv_id, array_to_string(ids[1:least(kept, 64)], ',') AS ids FROM cutting""",
+        SELECT conv_id, array_to_string(ids[1:kept], ',') AS ids FROM cutting""",
 )
 def stop_at_end(spark: SparkSession, folder: str) -> DataFrame:
+    """What comes before a conversation's first end token, of any length."""
     tokenizer = chat_tokenizer(spark, folder)
     text = render(turns(spark, folder), PLAIN, "conv_id")
     ids = text.select("conv_id", tokenizer.encode(F.col("text")).alias("ids"))
     end = tokenizer.ids_of(END)[0]
-    return ids.select("conv_id", joined(labels.until_end(F.col("ids"), end, 64)).alias("ids"))
+    return ids.select("conv_id", joined(labels.until_end(F.col("ids"), end, NO_LIMIT)).alias("ids"))
 
 
 @query(
@@ -213,32 +214,27 @@ labelled AS (
   FROM found)"""
 
 
+_ALL_MARKS = f"""{_CHAT_IDS},{_MARK_IDS}
+found AS (
+  SELECT conv_id, len(ids)::INT AS n_ids,
+    list_filter(range(1, len(ids) + 1), lambda i: ids[i:i + len(opening) - 1] = opening) AS starts,
+    list_filter(range(1, len(ids) + 1), lambda i: ids[i:i + 1] = closing) AS ends
+  FROM encoded, marks)"""
+
+
 @query(
     "marker_match",
-    f"""{_MARKS} SELECT conv_id, array_to_string(starts, ',') AS starts,
+    f"""{_ALL_MARKS} SELECT conv_id, array_to_string(starts, ',') AS starts,
         array_to_string(ends, ',') AS ends FROM found""",
 )
 def marker_match(spark: SparkSession, folder: str) -> DataFrame:
-    tokenizer = chat_tokenizer(spark, folder)
-    rows = samples.chat_samples(turns(spark, folder), tokenizer, PLAIN, "conv_id", length=LENGTH)
-    ids = F.col("input_ids")
-    return rows.select(
-        "conv_id",
-        joined(labels.match_positions(ids, tokenizer.ids_of(ANSWER_START))).alias("starts"),
-        joined(labels.match_positions(ids, tokenizer.ids_of(TURN_END))).alias("ends"),
-    )
+    return marker_match_whole(spark, folder).drop("n_ids")
 
 
 @query(
     "marker_match_whole",
-    f"""{_CHAT_IDS},{_MARK_IDS}
-        found AS (
-          SELECT conv_id, len(ids)::INT AS n_ids,
-            list_filter(range(1, len(ids) + 1), lambda i: ids[i:i + len(opening) - 1] = opening) AS starts,
-            list_filter(range(1, len(ids) + 1), lambda i: ids[i:i + 1] = closing) AS ends
-          FROM encoded, marks)
-        SELECT conv_id, n_ids, array_to_string(starts, ',') AS starts,
-          array_to_string(ends, ',') AS ends FROM found""",
+    f"""{_ALL_MARKS} SELECT conv_id, n_ids, array_to_string(starts, ',') AS starts,
+        array_to_string(ends, ',') AS ends FROM found""",
 )
 def marker_match_whole(spark: SparkSession, folder: str) -> DataFrame:
     """Markers in all ids of each conversation."""
