@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.base import id_type, query
+from millrace.llm.base import id_type, query, slices
 from millrace.llm.components import components
 from millrace.llm.partenum import PartEnum, similar
 from millrace.llm.shingles import chunks, mixed, shingle_sets
@@ -17,22 +17,27 @@ from millrace.session import load, written
 
 #: Signatures of a bucket; a task compares one bucket at a time.
 BUCKET_SIGNATURES = 2_000_000
-#: Signatures, and entries, that a task gathers before it deals them out to buckets.
-GATHERED = 2_000_000
-_ENTRIES = 1 << 16
+#: Signatures that a task gathers before it deals them out to buckets.
+GATHERED = 1_000_000
 #: Up to so many sets under one signature are compared with each other at once.
 COLD = 16
 #: A sketch counts the features of a set by this many leading bits.
 RANGE_BITS = 6
-#: Sets that a task remembers to have sent.
-MET = 200_000
+#: Rows of texts that a task takes out of Arrow at a time.
+ROWS = 1_024
 #: Features of a block of open sets; a task compares two blocks.
 BLOCK_FEATURES = 1 << 20
 
-# A set in a band, and one of its signatures there. Four bytes of a signature decide inside
-# its bucket; a chance hit is only a candidate more.
-_ENTRY = np.dtype([("key", "<i8"), ("need", "<i4"), ("band", "i1")])
+# An entry is a set in one of its bands: the set's number times ``STEPS`` and 0 for its own
+# band, 1 for the next, 2 for its single features.
+STEPS = 4
+#: Sets are dealt with numbers less than this apart, so that an entry takes two bytes.
+_NUMBERS = (1 << 16) // STEPS
+_BAND = 0xD6E8FEB86659FD93
+# A signature of an entry. Four bytes of it decide inside its bucket; a chance hit is only a
+# candidate more.
 _SIGN = np.dtype([("low", "<u4"), ("entry", "<u2")])
+_KEYS = "n bigint, k1 bigint, k2 bigint, sketch binary, need_own int, need_next int"
 
 
 def set_keys(features: np.ndarray) -> tuple[int, int]:
@@ -48,15 +53,16 @@ def sketch(features: np.ndarray) -> bytes:
     return np.minimum(held, 255).astype(np.uint8).tobytes()
 
 
-def with_set_keys(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``doc, hash, n, k1, k2, sketch`` per row: its id, text hash, set size, hashes and sketch."""
+def with_set_keys(docs: DataFrame, key: str, text: str, scheme: PartEnum) -> DataFrame:
+    """A row's id ``doc`` and text ``hash``, its set's size ``n``, hashes, sketch and ``need``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, ROWS):
             texts = batch.column(2).to_pylist()
             for start, end in chunks(texts):
                 sets = shingle_sets(texts[start:end])
                 keys = [set_keys(s) for s in sets]
+                needs = scheme.needs(sets)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, end - start),
@@ -65,156 +71,159 @@ def with_set_keys(docs: DataFrame, key: str, text: str) -> DataFrame:
                         pa.array([k[0] for k in keys], pa.int64()),
                         pa.array([k[1] for k in keys], pa.int64()),
                         pa.array([sketch(s) for s in sets], pa.binary()),
+                        pa.array([need for need, _ in needs], pa.int32()),
+                        pa.array([need for _, need in needs], pa.int32()),
                     ],
-                    names=["doc", "hash", "n", "k1", "k2", "sketch"],
+                    names=["doc", "hash", "n", "k1", "k2", "sketch", "need_own", "need_next"],
                 )
 
     rows = docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("hash"), F.col(text))
-    kind = id_type(docs, key)
-    return rows.mapInArrow(run, f"doc {kind}, hash bigint, n bigint, k1 bigint, k2 bigint, sketch binary")
+    return rows.mapInArrow(run, f"doc {id_type(docs, key)}, hash bigint, {_KEYS}")
+
+
+def _classes(rows: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """A row per distinct set with its number ``cid`` and one of its texts.
+
+    Numbers follow one another inside a part of the written table. Repeated rows of a
+    document are one before their texts are joined.
+    """
+    ids = F.struct(
+        F.col("doc").isNull().alias("_last"), "doc", "hash", "sketch", "need_own", "need_next"
+    )
+    heads = rows.where("n > 0").groupBy("k1", "k2", "n").agg(F.min(ids).alias("first"))
+    heads = heads.select("k1", "k2", "n", "first.*").drop("_last").withColumn("id_hash", F.xxhash64("doc"))
+    texts = (
+        docs.groupBy(F.xxhash64(text).alias("hash"), F.xxhash64(key).alias("id_hash"))
+        .agg(F.first(text).alias("text"))
+    )
+    found = heads.join(texts, ["hash", "id_hash"]).drop("id_hash")
+    return written(found.withColumn("cid", F.monotonically_increasing_id()), "zstd")
 
 
-def _dealt(docs: DataFrame, text: str, scheme: PartEnum, buckets: int) -> DataFrame:
+def _dealt(classes: DataFrame, scheme: PartEnum, buckets: int) -> DataFrame:
     """Signatures of all sets, packed by the bucket that they fall into.
 
-    A task sends a set that it met again lately only once, so a text with many copies comes
-    from every task a few times at most.
+    Each takes six bytes, however few of a set's signatures fall into one bucket: entries
+    count from ``base``, the first one of a pack, and stand in ascending order.
     """
 
-    def packed(entries: list, signs: list, counts: list) -> Iterator[pa.RecordBatch]:
-        table = np.array(entries, dtype=_ENTRY)
+    def packed(base: int, entries: list, signs: list, counts: list) -> pa.RecordBatch:
         flat = np.concatenate(signs)
-        owner = np.repeat(np.arange(len(table)), counts)
-        bucket = (flat >> np.uint64(40)).astype(np.int64) % buckets
+        owner = np.repeat(np.array(entries, dtype=np.uint16), counts)
+        bucket = (flat >> np.uint64(40)) % np.uint64(buckets)
+        bucket = bucket.astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
         order = np.argsort(bucket, kind="stable")
-        flat, owner, bucket = flat[order], owner[order], bucket[order]
+        bucket = bucket[order]
         out = np.empty(len(flat), dtype=_SIGN)
-        out["low"] = flat & np.uint64(0xFFFFFFFF)
-        for part in np.split(np.arange(len(flat)), np.flatnonzero(np.diff(bucket)) + 1):
-            used, own = np.unique(owner[part], return_inverse=True)
-            out["entry"][part] = own
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([bucket[part[0]]], pa.int64()),
-                    pa.array([table[used].tobytes()], pa.binary()),
-                    pa.array([out[part].tobytes()], pa.binary()),
-                ],
-                names=["bucket", "entries", "signs"],
-            )
+        out["low"] = (flat & np.uint64(0xFFFFFFFF))[order]
+        out["entry"] = owner[order]
+        cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(out)]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(bucket[cuts[:-1]].astype(np.int64)),
+                pa.array(np.full(len(cuts) - 1, base * STEPS, dtype=np.int64)),
+                pa.array([out[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+            ],
+            names=["bucket", "base", "signs"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries, signs, counts, total = [], [], [], 0
-        met: set[int] = set()
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
+        base, entries, signs, counts, total = 0, [], [], [], 0
+        for batch in slices(batches, ROWS):
+            numbers, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for start, end in chunks(texts):
-                new = {}
-                for features in shingle_sets(texts[start:end]):
-                    name = set_keys(features)[0]
-                    if name not in met:
-                        if len(met) >= MET:
-                            met.clear()
-                        met.add(name)
-                        new[name] = features
-                for name, signatures in zip(new, scheme.of_sets(list(new.values())), strict=True):
-                    for band, found, need in signatures:
-                        entries.append((name, max(need, 1), band))
-                        signs.append(found)
+                sets = shingle_sets(texts[start:end])
+                for cid, signatures in zip(numbers[start:end], scheme.of_sets(sets), strict=True):
+                    if entries and (total >= GATHERED or not 0 <= cid - base < _NUMBERS):
+                        yield packed(base, entries, signs, counts)
+                        entries, signs, counts, total = [], [], [], 0
+                    if not entries:
+                        base = cid
+                    for step, (band, found, _) in enumerate(signatures):
+                        # Equal signatures of unlike bands do not meet.
+                        signs.append(found + np.uint64(band * _BAND & (2**64 - 1)))
+                        entries.append((cid - base) * STEPS + step)
                         counts.append(len(found))
                         total += len(found)
-                    if total >= GATHERED or len(entries) > _ENTRIES - 3:
-                        yield from packed(entries, signs, counts)
-                        entries, signs, counts, total = [], [], [], 0
         if entries:
-            yield from packed(entries, signs, counts)
+            yield packed(base, entries, signs, counts)
 
-    return docs.select(text).mapInArrow(run, "bucket bigint, entries binary, signs binary")
+    return classes.select("cid", "text").mapInArrow(run, "bucket bigint, base bigint, signs binary")
 
 
-_MET = "a bigint, b bigint, band int, shared int, need int, `group` bigint, size int, star int"
+_MET = "a bigint, b bigint, shared int, star int, `group` bigint, size int"
+
+
+def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct codes, and how often each of them occurs."""
+    codes.sort()
+    starts = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1]))[: len(codes)])
+    return codes[starts], np.diff(np.append(starts, len(codes)))
 
 
 def _meet(table: pa.Table) -> pa.Table:
     """What one bucket holds: pairs, and members of the groups that are too large for pairs.
 
-    A pair (``a < b``) comes with the number of signatures of small groups that it shares
-    here, and the larger ``need``. Of a large group come its members, with ``group``, its
-    ``size`` and their ``need``, and a pair of its first member with each other one, counted
-    in ``star``.
+    A pair of entries (``a < b``) comes with the number of signatures of small groups that it
+    shares here. Of a large group come its members, with ``group`` and its ``size``, and a
+    pair of its first member with each other one, counted in ``star``.
     """
-    entries, signs, at = [], [], 0
-    for e, s in zip(table.column("entries").to_pylist(), table.column("signs").to_pylist(), strict=True):
-        entries.append(np.frombuffer(e, dtype=_ENTRY))
-        own = np.frombuffer(s, dtype=_SIGN)
-        signs.append((own["low"], own["entry"].astype(np.int64) + at))
-        at += len(entries[-1])
-    entries = np.concatenate(entries)
-    # The same set may come from many rows and tasks; it counts once.
-    order = np.lexsort((entries["band"], entries["key"]))
-    ranked = entries[order]
-    new = np.ones(len(ranked), dtype=bool)
-    new[1:] = (ranked["key"][1:] != ranked["key"][:-1]) | (ranked["band"][1:] != ranked["band"][:-1])
-    number = np.empty(len(ranked), dtype=np.int64)
-    number[order] = np.cumsum(new) - 1
-    known = ranked[new]
-    value = np.concatenate([s[0] for s in signs])
-    owner = number[np.concatenate([s[1] for s in signs])]
-    # Sorted by band and signature, then by set.
-    order = np.lexsort((owner, value, known["band"][owner]))
-    value, owner = value[order], owner[order]
-    band = known["band"][owner]
-    same = (value[1:] == value[:-1]) & (band[1:] == band[:-1])
-    keep = np.ones(len(value), dtype=bool)
-    keep[1:] = ~(same & (owner[1:] == owner[:-1]))
-    value, owner, band = value[keep], owner[keep], band[keep]
-    starts = np.concatenate(
-        ([0], np.flatnonzero((value[1:] != value[:-1]) | (band[1:] != band[:-1])) + 1)
-    )
-    sizes = np.diff(np.append(starts, len(value)))
-    pairs, counts = [], []
+    names, met, at = [], [], 0
+    for base, packed in zip(table.column("base").to_pylist(), table.column("signs").to_pylist(), strict=True):
+        own = np.frombuffer(packed, dtype=_SIGN)
+        new = np.ones(len(own), dtype=bool)
+        new[1:] = own["entry"][1:] != own["entry"][:-1]
+        names.append(base + own["entry"][new].astype(np.int64))
+        met.append(own["low"].astype(np.uint64) << np.uint64(32) | (np.cumsum(new) + (at - 1)).astype(np.uint64))
+        at += len(names[-1])
+    names = np.concatenate(names)
+    # Sorted by signature, then by entry, which counts once.
+    met = _counted(np.concatenate(met))[0]
+    owner = (met & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    met >>= np.uint64(32)
+    starts = np.concatenate(([0], np.flatnonzero(met[1:] != met[:-1]) + 1))
+    sizes = np.diff(np.append(starts, len(met)))
+
+    def codes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return a.astype(np.uint64) << np.uint64(32) | b
+
+    pairs = [np.zeros(0, np.uint64)]
     for size in range(2, COLD + 1):
         first = starts[sizes == size]
-        for i in range(size):
-            for j in range(i + 1, size):
-                pairs.append(np.stack((owner[first + i], owner[first + j]), axis=1))
-                counts.append(np.ones(len(first), dtype=np.int64))
-    groups, members, held = [], [], []
-    for start, size in zip(starts[sizes > COLD].tolist(), sizes[sizes > COLD].tolist(), strict=True):
-        own = owner[start : start + size]
-        members.append(own)
-        held.append(np.full(size, size, dtype=np.int32))
-        groups.append(np.full(size, int(value[start]) << 8 | int(band[start]) & 0xFF, dtype=np.int64))
-        pairs.append(np.stack((np.full(size - 1, own[0]), own[1:]), axis=1))
-        counts.append(np.zeros(size - 1, dtype=np.int64))
-    pairs = np.concatenate(pairs)
-    code = pairs[:, 0] * len(known) + pairs[:, 1]
-    code, place = np.unique(code, return_inverse=True)
-    counts = np.concatenate(counts)
-    shared = np.bincount(place, weights=counts, minlength=len(code))
-    star = np.bincount(place, weights=counts == 0, minlength=len(code))
-    a, b = code // len(known), code % len(known)
-    m = np.concatenate(members) if members else np.zeros(0, np.int64)
-    g = np.concatenate(groups) if groups else np.zeros(0, np.int64)
-    sizes = np.concatenate(held) if held else np.zeros(0, np.int32)
+        for i in range(size if len(first) else 0):
+            pairs += [codes(owner[first + i], owner[first + j]) for j in range(i + 1, size)]
+    large = sizes > COLD
+    member = np.repeat(large, sizes)
+    size = np.repeat(sizes[large], sizes[large])
+    lead = np.repeat(owner[starts[large]], sizes[large])
+    group, owned = met[member].astype(np.int64), owner[member]
+    stars, star = _counted(codes(lead, owned)[lead != owned])
+    pairs, shared = _counted(np.concatenate(pairs))
+    both = np.concatenate((pairs, stars))
+    a, b = names[both >> np.uint64(32)], names[both & np.uint64(0xFFFFFFFF)]
+    none, alone = np.zeros(len(size), np.int64), np.arange(len(both) + len(size)) < len(both)
     return pa.table(
         {
-            "a": pa.array(np.concatenate((known["key"][a], known["key"][m]))),
-            "b": pa.array(np.concatenate((known["key"][b], np.zeros_like(m)))),
-            "band": pa.array(np.concatenate((known["band"][a], known["band"][m])).astype(np.int32)),
-            "shared": pa.array(np.concatenate((shared.astype(np.int32), np.zeros(len(m), np.int32)))),
-            "need": pa.array(
-                np.concatenate((np.maximum(known["need"][a], known["need"][b]), known["need"][m]))
-            ),
-            "group": pa.array(
-                np.concatenate((np.zeros_like(a), g)), mask=np.arange(len(a) + len(m)) < len(a)
-            ),
-            "size": pa.array(np.concatenate((np.zeros(len(a), np.int32), sizes))),
-            "star": pa.array(np.concatenate((star.astype(np.int32), np.zeros(len(m), np.int32)))),
+            "a": pa.array(np.concatenate((np.minimum(a, b), names[owned]))),
+            "b": pa.array(np.concatenate((np.maximum(a, b), none))),
+            "shared": pa.array(np.concatenate((shared, 0 * star, none)).astype(np.int32)),
+            "star": pa.array(np.concatenate((0 * shared, star, none)).astype(np.int32)),
+            "group": pa.array(np.concatenate((np.zeros(len(both), np.int64), group)), mask=alone),
+            "size": pa.array(np.concatenate((np.zeros(len(both), np.int64), size)).astype(np.int32)),
         }
     )
 
 
-def _candidates(met: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _needs(classes: DataFrame) -> DataFrame:
+    """``key, need``: how many signatures a similar set surely shares with an entry."""
+    entry = F.col("cid") * STEPS
+    steps = [F.struct((entry + k).alias("key"), F.greatest(need, F.lit(1)).alias("need")) for k, need in enumerate(("need_own", "need_next"))]
+    weak = F.struct((entry + 2).alias("key"), F.lit(1).alias("need"))
+    every = F.when(F.least("need_own", "need_next") < 1, F.array(*steps, weak)).otherwise(F.array(*steps))
+    return classes.select(F.inline(every))
+
+
+def _candidates(met: DataFrame, needs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pairs of sets with first members, pairs that share enough, and members that need more.
 
     The first kind only connects large groups early: a set gets one pair, with the set that
@@ -226,30 +235,28 @@ def _candidates(met: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     when each leaves out its last ``need - 1``. So a set leaves as many large groups, the
     largest first; most sets leave them all.
     """
-    hot = met.where("`group` IS NOT NULL").select(
-        F.col("a").alias("key"), "band", "need", "bucket", "group", "size"
-    )
-    there = hot.groupBy("key", "band").agg(F.count(F.lit(1)).alias("hot"))
+    hot = met.where("`group` IS NOT NULL").select(F.col("a").alias("key"), "bucket", "group", "size")
+    there = hot.groupBy("key").agg(F.count(F.lit(1)).alias("hot"))
     pairs = (
         met.where("`group` IS NULL")
-        .groupBy("a", "b", "band")
-        .agg(F.sum("shared").alias("shared"), F.max("need").alias("need"), F.sum("star").alias("star"))
+        .groupBy("a", "b")
+        .agg(F.sum("shared").alias("shared"), F.sum("star").alias("star"))
     )
-    enough = _enough(pairs, there)
-    most = Window.partitionBy("b").orderBy(F.desc("star"), "a", "band")
+    enough = _enough(pairs, needs.join(there, "key", "left").fillna(0, ["hot"]))
+    enough = enough.withColumns({"u": F.expr(f"a div {STEPS}"), "v": F.expr(f"b div {STEPS}")})
+    most = Window.partitionBy("v").orderBy(F.desc("star"), "u", "a", "b")
     stars = enough.where("star > 0").withColumn("nth", F.row_number().over(most)).where("nth = 1")
-    kept = enough.where("shared > 0").select("a", "b").distinct()
-    last = Window.partitionBy("key", "band").orderBy(F.desc("size"), "bucket", "group")
-    heavy = hot.withColumn("place", F.row_number().over(last)).where("place >= need")
-    return stars.select("a", "b"), kept, heavy.select("key", "bucket", "group")
+    kept = enough.where("shared > 0").select("u", "v").distinct()
+    last = Window.partitionBy("key").orderBy(F.desc("size"), "bucket", "group")
+    heavy = hot.withColumn("place", F.row_number().over(last)).join(needs, "key").where("place >= need")
+    return stars.select("u", "v"), kept, heavy.select(F.expr(f"key div {STEPS}").alias("cid"), "bucket", "group")
 
 
-def _enough(pairs: DataFrame, there: DataFrame) -> DataFrame:
+def _enough(pairs: DataFrame, needs: DataFrame) -> DataFrame:
     for side in ("a", "b"):
-        more = there.select(F.col("key").alias(side), "band", F.col("hot").alias(f"_{side}"))
-        pairs = pairs.join(more, [side, "band"], "left")
-    rest = F.least(F.coalesce("_a", F.lit(0)), F.coalesce("_b", F.lit(0)))
-    return pairs.where(F.col("shared") + rest >= F.col("need"))
+        own = needs.select(F.col("key").alias(side), F.col("need").alias(f"need_{side}"), F.col("hot").alias(f"hot_{side}"))
+        pairs = pairs.join(own, side)
+    return pairs.where(F.col("shared") + F.least("hot_a", "hot_b") >= F.greatest("need_a", "need_b"))
 
 
 def _near_enough(scheme: PartEnum):
@@ -269,48 +276,32 @@ def _near_enough(scheme: PartEnum):
             unlike = np.abs(sides[0].astype(np.int16) - sides[1]).sum(axis=1, dtype=np.int64)
             both = batch.column("n_u").to_numpy() + batch.column("n_v").to_numpy()
             keep = (scheme.num + scheme.den) * unlike <= (scheme.den - scheme.num) * both
-            yield batch.select(["u", "v", "doc_u", "hash_u", "doc_v", "hash_v"]).filter(pa.array(keep))
+            yield batch.select(["u", "v"]).filter(pa.array(keep))
 
     return run
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, scheme: PartEnum, text: str) -> DataFrame:
-    """Links ``u, v`` between classes whose sets are similar, from pairs of first set hashes.
+def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, scheme: PartEnum) -> DataFrame:
+    """Links ``u, v`` between classes whose sets are similar, from pairs of their numbers.
 
     Classes of the same ``label`` are connected already and are not compared. Only texts
     travel, one per pair; a hot side is split by the skew join.
     """
-
-    def side(name: str, number: str) -> DataFrame:
-        return classes.select(
-            F.col("k1").alias(name), F.col("cid").alias(number), F.col("n").alias(f"n_{number}"),
-            F.col("label").alias(f"label_{number}"), F.col("doc").alias(f"doc_{number}"), F.col("hash").alias(f"hash_{number}"),
-            F.col("sketch").alias(f"sketch_{number}"),
-        )
-
-    sized = pairs.join(side("a", "u"), "a").join(side("b", "v"), "b")
+    sized = pairs
+    for number in ("u", "v"):
+        side = classes.select("cid", "n", "label", "sketch").toDF(number, *(f"{c}_{number}" for c in ("n", "label", "sketch")))
+        sized = sized.join(side, number)
     sized = sized.where(
         (scheme.den * F.least("n_u", "n_v") >= scheme.num * F.greatest("n_u", "n_v"))
         & (F.col("label_u") != F.col("label_v"))
-    ).select("u", "v", "doc_u", "hash_u", "doc_v", "hash_v", "n_u", "n_v", "sketch_u", "sketch_v")
-    kind = id_type(docs, "doc")
-    sized = sized.mapInArrow(
-        _near_enough(scheme), f"u bigint, v bigint, doc_u {kind}, hash_u bigint, doc_v {kind}, hash_v bigint"
-    )
-    texts = docs.select(F.col("doc"), F.col("hash"), F.col(text).alias("text"))
+    ).select("u", "v", "n_u", "n_v", "sketch_u", "sketch_v")
+    sized = sized.mapInArrow(_near_enough(scheme), "u bigint, v bigint")
     for number in ("u", "v"):
-        named = texts.select(
-            F.col("doc").alias("_doc"), F.col("hash").alias(f"hash_{number}"), F.col("text").alias(f"text_{number}")
-        )
-        sized = sized.join(
-            named,
-            (sized[f"hash_{number}"] == named[f"hash_{number}"])
-            & sized[f"doc_{number}"].eqNullSafe(named["_doc"]),
-        ).drop("_doc", f"hash_{number}", f"doc_{number}")
+        sized = sized.join(texts.select(F.col("cid").alias(number), F.col("text").alias(f"text_{number}")), number)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[str, np.ndarray] | None = None
-        for batch in batches:
+        for batch in slices(batches, ROWS):
             rows = batch.to_pylist()
             found = []
             for start, end in chunks([row["text_v"] for row in rows]):
@@ -336,15 +327,12 @@ def _labelled(classes: DataFrame, links: DataFrame | None) -> DataFrame:
     return written(found.select(*classes.columns, F.coalesce("label", "cid").alias("label")))
 
 
-def _feature_rows(nodes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+def _feature_rows(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """``cid, n, label, h``: the shingles of each of the given classes as an array."""
-    texts = docs.select(F.col("doc").alias("_doc"), F.col("hash").alias("_hash"), F.col(text).alias("text"))
-    held = nodes.join(
-        texts, (nodes["hash"] == texts["_hash"]) & nodes["doc"].eqNullSafe(texts["_doc"])
-    ).select("cid", "n", "label", "text")
+    held = nodes.join(texts.select("cid", "text"), "cid").select("cid", "n", "label", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, ROWS):
             texts = batch.column(3).to_pylist()
             for start, end in chunks(texts):
                 sets = [s.view(np.int64) for s in shingle_sets(texts[start:end])]
@@ -353,9 +341,7 @@ def _feature_rows(nodes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
                     [*part.columns[:3], pa.array(sets, pa.list_(pa.int64()))], names=["cid", "n", "label", "h"]
                 )
 
-    rows = held.mapInArrow(run, "cid bigint, n bigint, label bigint, h array<bigint>")
-    # A class may be found in repeated rows.
-    return rows.dropDuplicates(["cid"])
+    return held.mapInArrow(run, "cid bigint, n bigint, label bigint, h array<bigint>")
 
 
 def _circles(sets: DataFrame, scheme: PartEnum) -> DataFrame:
@@ -424,14 +410,14 @@ def _linked(table: pa.Table, i: int, j: int, scheme: PartEnum) -> pa.Table:
     return pa.table({"u": pa.array(found_u, pa.int64()), "v": pa.array(found_v, pa.int64())})
 
 
-def _rest(nodes: DataFrame, docs: DataFrame, scheme: PartEnum, text: str) -> DataFrame:
+def _rest(nodes: DataFrame, texts: DataFrame, scheme: PartEnum) -> DataFrame:
     """Links ``u, v`` that connect what large groups left open.
 
     Open sets fall into circles that no similar pair leaves. A large circle is cut into blocks
     of some ``BLOCK_FEATURES`` by hash, and every two blocks are compared in a task of
     their own; small circles share a task. A task returns fewer links than it has sets.
     """
-    sets = written(_feature_rows(nodes, docs, text))
+    sets = written(_feature_rows(nodes, texts))
     circles = written(_circles(sets, scheme))
     sized = sets.select("cid", "n").join(circles, F.col("cid") == F.col("node")).drop("node")
     sums = written(sized.withColumnRenamed("label", "circle").groupBy("circle").agg(F.sum("n").alias("n")))
@@ -481,32 +467,26 @@ def near_duplicates(
     had from here.
     """
     scheme = PartEnum(num, den)
-    rows = written(with_set_keys(docs, key, text))
-    ids = F.struct(F.col("doc").isNull().alias("_last"), "doc", "hash", "sketch")
-    classes = written(
-        rows.where("n > 0")
-        .groupBy("k1", "k2", "n")
-        .agg(F.min(ids).alias("first"))
-        .select("k1", "k2", "n", "first.doc", "first.hash", "first.sketch", F.monotonically_increasing_id().alias("cid"))
-    )
+    rows = written(with_set_keys(docs, key, text, scheme))
+    texts = _classes(rows, docs, key, text)
+    classes = texts.drop("text")
     total = classes.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_SIGNATURES))
-    named = docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("hash"), F.col(text))
 
     def meet(table: pa.Table) -> pa.Table:
         found = _meet(table)
         return found.append_column("bucket", pa.array([table.column("bucket")[0].as_py()] * len(found), pa.int64()))
 
     met = written(
-        _dealt(docs, text, scheme, buckets).groupBy("bucket").applyInArrow(meet, f"{_MET}, bucket bigint")
+        _dealt(texts, scheme, buckets).groupBy("bucket").applyInArrow(meet, f"{_MET}, bucket bigint")
     )
-    stars, kept, heavy = _candidates(met)
-    links = written(_verified(stars, _labelled(classes, None), named, scheme, text))
+    stars, kept, heavy = _candidates(met, _needs(classes))
+    links = written(_verified(stars, _labelled(classes, None), texts, scheme))
     placed = _labelled(classes, links)
-    links = links.unionByName(written(_verified(kept, placed, named, scheme, text)))
+    links = links.unionByName(written(_verified(kept, placed, texts, scheme)))
     placed = _labelled(classes, links)
     # Large groups whose members are not connected yet.
-    heavy = heavy.join(placed.withColumnRenamed("k1", "key"), "key")
+    heavy = heavy.join(placed.select("cid", "n", "label"), "cid")
     unlike = (
         heavy.groupBy("bucket", "group")
         .agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
@@ -514,11 +494,11 @@ def near_duplicates(
     )
     left = written(
         heavy.join(unlike, ["bucket", "group"], "left_semi")
-        .select("cid", "n", "label", "doc", "hash")
+        .select("cid", "n", "label")
         .distinct()
     )
     if not left.isEmpty():
-        links = links.unionByName(written(_rest(left, named, scheme, text)))
+        links = links.unionByName(written(_rest(left, texts, scheme)))
         placed = _labelled(classes, links)
     heads = placed.groupBy("label").agg(F.min("doc").alias("component_id"))
     of_class = placed.join(heads, "label").select("k1", "k2", "n", "component_id", "label")

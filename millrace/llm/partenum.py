@@ -92,19 +92,11 @@ class PartEnum:
         self, flat: np.ndarray, scattered: np.ndarray, sizes: np.ndarray, bands: np.ndarray
     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Signatures of all sets one after another, where each set's end, and its ``need``."""
-        each = {band: self.partitions(band) for band in np.unique(bands).tolist()}
-        n = np.array([each[band] for band in bands.tolist()])
-        first = np.cumsum(n) - n
-        parts = np.repeat((PARTS * n).astype(np.uint64), sizes)
-        part = ((flat >> np.uint64(32)) * parts >> np.uint64(32)).astype(np.int64)
-        part += np.repeat(PARTS * first, sizes)
-        starts = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1))
-        total = int(n.sum())
+        n, first, part, starts, used = self._occupied(flat, sizes, bands)
+        total = len(used)
         content = np.zeros(PARTS * total, dtype=np.uint64)
         content[part[starts]] = np.add.reduceat(scattered, starts)
-        used = np.zeros(PARTS * total, dtype=bool)
-        used[part[starts]] = True
-        content, used = content.reshape(total, PARTS), used.reshape(total, PARTS)
+        content = content.reshape(total, PARTS)
         place = np.arange(total) - np.repeat(first, n)
         signs = np.empty((total, PARTS), dtype=np.uint64)
         sent = np.empty((total, PARTS), dtype=bool)
@@ -113,11 +105,49 @@ class PartEnum:
             sent[:, left_out] = used[:, a] | used[:, b]
             name = (place * PARTS + left_out).astype(np.uint64) * _STRIDE
             signs[:, left_out] = mixed(name + content[:, a] + (content[:, b] ^ _STRIDE) * _STRIDE, 3)
+        ends = np.cumsum(np.add.reduceat(sent.sum(axis=1), first))
+        return signs[sent], ends, self._need(first, used, sizes, bands)
+
+    def _occupied(
+        self, flat: np.ndarray, sizes: np.ndarray, bands: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Partitions of each set, the first one's number, and the parts that hold features.
+
+        Of the features come their part and where a part's features start.
+        """
+        each = {band: self.partitions(band) for band in np.unique(bands).tolist()}
+        n = np.array([each[band] for band in bands.tolist()])
+        first = np.cumsum(n) - n
+        parts = np.repeat((PARTS * n).astype(np.uint64), sizes)
+        part = ((flat >> np.uint64(32)) * parts >> np.uint64(32)).astype(np.int64)
+        part += np.repeat(PARTS * first, sizes)
+        starts = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1))
+        used = np.zeros(PARTS * int(n.sum()), dtype=bool)
+        used[part[starts]] = True
+        return n, first, part, starts, used.reshape(-1, PARTS)
+
+    def _need(self, first: np.ndarray, used: np.ndarray, sizes: np.ndarray, bands: np.ndarray) -> np.ndarray:
         # With features in one part only, or none, some subset of parts is empty.
         relied_on = np.add.reduceat((used.sum(axis=1) >= 2).astype(np.int64), first)
-        ends = np.cumsum(np.add.reduceat(sent.sum(axis=1), first))
         spoilt = [self.budget(size, band) // 2 for size, band in zip(sizes.tolist(), bands.tolist())]
-        return signs[sent], ends, relied_on - np.array(spoilt)
+        return relied_on - np.array(spoilt)
+
+    def needs(self, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+        """``need`` of each set in its own band and in the next, without the signatures."""
+        found = [(0, 0)] * len(sets)
+        full = [k for k, features in enumerate(sets) if len(features)]
+        if not full:
+            return found
+        sizes = np.array([len(sets[k]) for k in full])
+        flat = np.concatenate([sets[k] for k in full])
+        own = np.searchsorted(self.lows, sizes, side="right") - 1
+        both = []
+        for bands in (own, own + 1):
+            _, first, _, _, used = self._occupied(flat, sizes, bands)
+            both.append(self._need(first, used, sizes, bands).tolist())
+        for k, *need in zip(full, *both, strict=True):
+            found[k] = tuple(need)
+        return found
 
 
 def similar(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:

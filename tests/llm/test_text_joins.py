@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import decontamination, jaccard_join
 from millrace.llm.components import components
@@ -148,3 +149,21 @@ def test_large_groups_just_below_the_threshold(spark, monkeypatch, features):
     names = {key: expected[i][1] for i, (key, _) in enumerate(rows)}
     assert {r.doc_id: r.component_id for r in got} == names
     assert 20 < len(set(names.values())) < len(rows) - 20
+
+
+def test_signatures_take_no_more_room_in_more_buckets(spark, monkeypatch):
+    dealt, deal = [], jaccard_join._dealt
+    monkeypatch.setattr(jaccard_join, "_dealt", lambda *a: dealt.append(deal(*a)) or dealt[-1])
+    rows = [(k, prose(k, 200)) for k in range(60)]
+    rows += [(100 + k, rows[k % 20][1]) for k in range(60)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    for signatures in (2_000_000, 100):
+        monkeypatch.setattr(jaccard_join, "BUCKET_SIGNATURES", signatures)
+        jaccard_join.near_duplicates(df)
+    packed = [[F.sum(F.length(c)) for c, kind in one.dtypes if kind == "binary"] for one in dealt]
+    few, many = (sum(one.agg(*sums).first()) for one, sums in zip(dealt, packed, strict=True))
+    assert many <= 1.1 * few
+    # Copies in several tasks are dealt once.
+    sets = {frozenset(shingle_sets([text])[0].tolist()) for _, text in rows}
+    signs = PartEnum().of_sets([np.array(sorted(s), dtype=np.uint64) for s in sets])
+    assert many <= 6.5 * sum(len(found) for one in signs for _, found, _ in one)
