@@ -2,13 +2,14 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, jaccard_join
+from millrace.llm import decontamination, jaccard_join, shingles as hashed
 from millrace.llm.components import components
 from millrace.llm.partenum import PartEnum, similar
 from millrace.llm.shingles import shingle_sets
@@ -167,3 +168,15 @@ def test_signatures_take_no_more_room_in_more_buckets(spark, monkeypatch):
     sets = {frozenset(shingle_sets([text])[0].tolist()) for _, text in rows}
     signs = PartEnum().of_sets([np.array(sorted(s), dtype=np.uint64) for s in sets])
     assert many <= 6.5 * sum(len(found) for one in signs for _, found, _ in one)
+
+
+def test_hashing_many_texts_takes_little_memory(monkeypatch):
+    monkeypatch.setattr(hashed, "_KNOWN", {})
+    texts = [prose(k, 500) for k in range(1_500)]
+    assert sum(map(len, texts)) > 4 << 20
+    tracemalloc.start()
+    for start, end in hashed.chunks(texts):
+        shingle_sets(texts[start:end])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6, peak
