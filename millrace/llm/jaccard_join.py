@@ -243,8 +243,8 @@ def _candidates(met: DataFrame, needs: DataFrame) -> tuple[DataFrame, DataFrame,
         .agg(F.sum("shared").alias("shared"), F.sum("star").alias("star"))
     )
     enough = _enough(pairs, needs.join(there, "key", "left").fillna(0, ["hot"]))
-    enough = enough.withColumns({"u": F.expr(f"a div {STEPS}"), "v": F.expr(f"b div {STEPS}")})
-    most = Window.partitionBy("v").orderBy(F.desc("star"), "u", "a", "b")
+    enough = written(enough.select(F.expr(f"a div {STEPS}").alias("u"), F.expr(f"b div {STEPS}").alias("v"), "shared", "star"))
+    most = Window.partitionBy("v").orderBy(F.desc("star"), "u")
     stars = enough.where("star > 0").withColumn("nth", F.row_number().over(most)).where("nth = 1")
     kept = enough.where("shared > 0").select("u", "v").distinct()
     last = Window.partitionBy("key").orderBy(F.desc("size"), "bucket", "group")
@@ -276,13 +276,13 @@ def _near_enough(scheme: PartEnum):
             unlike = np.abs(sides[0].astype(np.int16) - sides[1]).sum(axis=1, dtype=np.int64)
             both = batch.column("n_u").to_numpy() + batch.column("n_v").to_numpy()
             keep = (scheme.num + scheme.den) * unlike <= (scheme.den - scheme.num) * both
-            yield batch.select(["u", "v"]).filter(pa.array(keep))
+            yield batch.select(["u", "v", "label_u", "label_v"]).filter(pa.array(keep))
 
     return run
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, scheme: PartEnum) -> DataFrame:
-    """Links ``u, v`` between classes whose sets are similar, from pairs of their numbers.
+    """Links ``u, v`` between labels that classes with similar sets have, from pairs of classes.
 
     Classes of the same ``label`` are connected already and are not compared. Only texts
     travel, one per pair; a hot side is split by the skew join.
@@ -294,8 +294,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, scheme: Pa
     sized = sized.where(
         (scheme.den * F.least("n_u", "n_v") >= scheme.num * F.greatest("n_u", "n_v"))
         & (F.col("label_u") != F.col("label_v"))
-    ).select("u", "v", "n_u", "n_v", "sketch_u", "sketch_v")
-    sized = sized.mapInArrow(_near_enough(scheme), "u bigint, v bigint")
+    ).select("u", "v", "label_u", "label_v", "n_u", "n_v", "sketch_u", "sketch_v")
+    sized = sized.mapInArrow(_near_enough(scheme), "u bigint, v bigint, label_u bigint, label_v bigint")
     for number in ("u", "v"):
         sized = sized.join(texts.select(F.col("cid").alias(number), F.col("text").alias(f"text_{number}")), number)
 
@@ -313,18 +313,20 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, scheme: Pa
                     if similar(last[1], b, scheme.num, scheme.den):
                         found.append(row)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([row[c] for row in found], pa.int64()) for c in ("u", "v")], names=["u", "v"]
+                [pa.array([row[c] for row in found], pa.int64()) for c in ("label_u", "label_v")], names=["u", "v"]
             )
 
-    return sized.select("u", "v", "text_u", "text_v").mapInArrow(run, "u bigint, v bigint").distinct()
+    return sized.select("label_u", "label_v", "text_u", "text_v").mapInArrow(run, "u bigint, v bigint")
 
 
-def _labelled(classes: DataFrame, links: DataFrame | None) -> DataFrame:
-    """The classes with the ``label`` of their component under the links so far."""
-    if links is None:
-        return classes.withColumn("label", F.col("cid"))
-    found = classes.join(components(links), F.col("cid") == F.col("node"), "left")
-    return written(found.select(*classes.columns, F.coalesce("label", "cid").alias("label")))
+def _labelled(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes with the ``label`` of their component, its least ``cid``.
+
+    ``links`` lie between the labels so far.
+    """
+    merged = components(links).select(F.col("node").alias("label"), F.col("label").alias("least"))
+    found = classes.join(merged, "label", "left").withColumn("label", F.coalesce("least", "label"))
+    return written(found.select(*classes.columns))
 
 
 def _feature_rows(nodes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -365,19 +367,18 @@ def _circles(sets: DataFrame, scheme: PartEnum) -> DataFrame:
         .agg(F.min("cid").alias("v"), F.min("label").alias("lo"), F.max("label").alias("hi"))
         .where("lo < hi")
     )
-    tied = first.join(least, "h").select(F.col("cid").alias("u"), "v").distinct()
-    return components(tied)
+    return components(first.join(least, "h").select(F.col("cid").alias("u"), "v"))
 
 
 def _linked(table: pa.Table, i: int, j: int, scheme: PartEnum) -> pa.Table:
-    """Links that connect what is not connected yet, among the sets of one block or two.
+    """Links of labels that are not connected yet, among the sets of one block or two.
 
     Sets of unlike blocks are compared if ``i`` and ``j`` differ. Every set that shares one of
     its rarest shingles here with a set of another component meets all sets at once,
     by counting through their postings.
     """
     block = table.column("block").to_numpy()
-    cid, label = table.column("cid").to_numpy(), table.column("label").to_numpy()
+    label = table.column("label").to_numpy()
     arrays = table.column("h").combine_chunks()
     flat = arrays.flatten().to_numpy()
     sizes = np.diff(arrays.offsets.to_numpy())
@@ -404,14 +405,14 @@ def _linked(table: pa.Table, i: int, j: int, scheme: PartEnum) -> pa.Table:
             link &= block != block[x]
         for y in np.flatnonzero(link).tolist():
             if root[y] != root[x]:
-                found_u.append(cid[x])
-                found_v.append(cid[y])
+                found_u.append(label[x])
+                found_v.append(label[y])
                 root[root == root[y]] = root[x]
     return pa.table({"u": pa.array(found_u, pa.int64()), "v": pa.array(found_v, pa.int64())})
 
 
 def _rest(nodes: DataFrame, texts: DataFrame, scheme: PartEnum) -> DataFrame:
-    """Links ``u, v`` that connect what large groups left open.
+    """Links ``u, v`` of labels that connect what large groups left open.
 
     Open sets fall into circles that no similar pair leaves. A large circle is cut into blocks
     of some ``BLOCK_FEATURES`` by hash, and every two blocks are compared in a task of
@@ -436,7 +437,7 @@ def _rest(nodes: DataFrame, texts: DataFrame, scheme: PartEnum) -> DataFrame:
         F.when(F.col("blocks") > 1, F.col("circle")).alias("circle"),
         F.coalesce(lone, F.least("block", "other")).alias("i"),
         F.coalesce(lone, F.greatest("block", "other")).alias("j"),
-        "block", "cid", "label", "h",
+        "block", "label", "h",
     )
 
     def work(key: tuple, table: pa.Table) -> pa.Table:
@@ -481,10 +482,9 @@ def near_duplicates(
         _dealt(texts, scheme, buckets).groupBy("bucket").applyInArrow(meet, f"{_MET}, bucket bigint")
     )
     stars, kept, heavy = _candidates(met, _needs(classes))
-    links = written(_verified(stars, _labelled(classes, None), texts, scheme))
-    placed = _labelled(classes, links)
-    links = links.unionByName(written(_verified(kept, placed, texts, scheme)))
-    placed = _labelled(classes, links)
+    placed = classes.withColumn("label", F.col("cid"))
+    for pairs in (stars, kept):
+        placed = _labelled(placed, _verified(pairs, placed, texts, scheme))
     # Large groups whose members are not connected yet.
     heavy = heavy.join(placed.select("cid", "n", "label"), "cid")
     unlike = (
@@ -498,8 +498,7 @@ def near_duplicates(
         .distinct()
     )
     if not left.isEmpty():
-        links = links.unionByName(written(_rest(left, texts, scheme)))
-        placed = _labelled(classes, links)
+        placed = _labelled(placed, _rest(left, texts, scheme))
     heads = placed.groupBy("label").agg(F.min("doc").alias("component_id"))
     of_class = placed.join(heads, "label").select("k1", "k2", "n", "component_id", "label")
     linked = rows.join(of_class, ["k1", "k2", "n"], "left")

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, jaccard_join, shingles as hashed
+from millrace.llm import components as contraction, decontamination, jaccard_join, shingles as hashed
 from millrace.llm.components import components
 from millrace.llm.partenum import PartEnum, similar
 from millrace.llm.shingles import shingle_sets
@@ -89,6 +89,51 @@ def test_components_of_chains_stars_and_rings(spark):
     assert found == expected
 
 
+@pytest.mark.parametrize(("held", "rounds"), [(1 << 18, 0), (8, 1)])
+def test_components_need_few_rounds(spark, monkeypatch, held, rounds):
+    rng, done, star = random.Random(4), [], contraction._large_star
+    monkeypatch.setattr(contraction, "HELD", held, raising=False)
+    monkeypatch.setattr(contraction, "_large_star", lambda links: done.append(1) or star(links))
+    # A long chain in random order, and sparse random links that repeat and run both ways.
+    ids = rng.sample(range(1_000), 80)
+    links = list(zip(ids, ids[1:])) + [(rng.randrange(2_000, 2_200), rng.randrange(2_000, 2_200)) for _ in range(120)]
+    links += [(v, u) for u, v in links[::7]]
+    rng.shuffle(links)
+    df = spark.createDataFrame(links, "u bigint, v bigint").repartition(16)
+    got = [(r.node, r.label) for r in components(df).collect()]
+    label = {x: x for link in links for x in link if link[0] != link[1]}
+    for _ in label:
+        for u, v in links:
+            if u != v:
+                label[u] = label[v] = min(label[u], label[v])
+    assert sorted(got) == sorted(label.items())
+    assert len(done) == 0 if not rounds else len(done) >= rounds
+
+
+def test_candidates_are_worked_out_once(spark, monkeypatch):
+    counted, enough = [], jaccard_join._enough
+
+    def watched(pairs, needs):
+        seen = spark.sparkContext.accumulator(0)
+
+        def pass_on(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        found = enough(pairs, needs)
+        counted.append((seen, found.count()))
+        return found.mapInArrow(pass_on, found.schema)
+
+    monkeypatch.setattr(jaccard_join, "_enough", watched)
+    rows = [(k, prose(k % 30, 80)) for k in range(60)] + [(100 + k, edited(prose(k, 80), 1, k)) for k in range(30)]
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    expected = linked_components(rows)
+    assert {r.doc_id: r.component_id for r in got} == {key: expected[i][1] for i, (key, _) in enumerate(rows)}
+    ((seen, once),) = counted
+    assert seen.value == once > 0
+
+
 ITEMS = [
     (1, prose(50, 40)), (2, prose(51, 13)), (3, "short item of Six words"), (4, "alone"), (5, "two words"),
     (6, None), (7, " ,;"), (None, prose(52, 20)), (8, prose(50, 40)), (9, "echo echo echo echo"), (2, prose(53, 30)),
